@@ -53,3 +53,10 @@ def text_of(column: str = "text"):
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Let Arrow batches to Python hold so many rows at most: texts can be long, and memory is to stay bounded."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, str(rows))

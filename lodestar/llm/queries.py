@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import fingerprints, sharding, token_counts, token_output, toxicity
+from lodestar.llm import fingerprints, ngram_jaccard, sharding, suffix_dedup, token_counts, token_output, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,14 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.classes(table(spark, sf_dir, "documents"))
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -41,6 +49,8 @@ def queries() -> dict:
     return {
         f.__name__: f
         for f in (
+            op1_ngram_jaccard,
+            op2_suffix_dedup,
             op3_document_fingerprints,
             op6_token_counts,
             op7_token_output,
