@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import hashlib
 import os
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import materialise, new_path
+from lodestar.llm.common import materialise, new_path, small_batches
 
 CACHE_SCHEMA = T.StructType(
     [
@@ -32,8 +33,8 @@ TRIMMED = " \t\n\r\x0b\x0c"
 #: Separators that ``str.split`` cuts at but the tokenizers' white-space class may not.
 ODD_SPACE = "\x1c\x1d\x1e\x1f\x85"
 
-#: Entries of a worker's memo of word counts; it is emptied beyond that, so memory stays bounded.
-MEMO_WORDS = 400_000
+#: A worker's memo of word counts holds at most so many; beyond that the later half goes, so memory stays bounded.
+MEMO_WORDS = 250_000
 
 
 def tokenizer_version(path: str) -> str:
@@ -58,7 +59,7 @@ class WordCounter:
 
             self.by_word = False
             model = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.encode_counts = lambda texts: [len(x) for x in model.encode(list(texts), num_threads=1)]
+            self.encode_some = lambda texts: map(len, model.encode(texts, num_threads=1))
         else:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
@@ -66,7 +67,13 @@ class WordCounter:
             tokenizer = Tokenizer.from_file(path)
             tokenizer.no_truncation()
             tokenizer.no_padding()
-            self.encode_counts = lambda texts: [len(e.ids) for e in tokenizer.encode_batch(list(texts), add_special_tokens=False)]
+            self.encode_some = lambda texts: map(len, tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+    def encode_counts(self, texts: list[str]) -> list[int]:
+        found: list[int] = []
+        for i in range(0, len(texts), 5_000):
+            found += self.encode_some(texts[i : i + 5_000])
+        return found
 
     def counts(self, texts: list[str]) -> list[int]:
         if not self.by_word:
@@ -74,7 +81,7 @@ class WordCounter:
         split = [None if any(c in t for c in ODD_SPACE) else t.split() for t in texts]
         memo = self.memo
         if len(memo) > MEMO_WORDS:
-            memo.clear()
+            memo = self.memo = dict(islice(memo.items(), MEMO_WORDS // 2))  # the first met are the frequent ones
         unseen = {w for words in split if words is not None for w in words}.difference(memo)
         if unseen:
             unseen = list(unseen)
@@ -114,6 +121,7 @@ def token_counts(
     columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     version = tokenizer_version(tokenizer_path)
     by_word = _drops_white_space(tokenizer_path)
     cache_dir = cache_dir or new_path(spark, "token-cache")
@@ -149,7 +157,7 @@ def token_counts(
 
     def encode(batches):
         counter = WordCounter(tokenizer_path, by_word)
-        for batch in batches:
+        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
             counts = counter.counts(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([version] * len(counts), pa.string()), batch.column(0).cast(pa.binary()), pa.array(counts, pa.int64())],
