@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import materialise, shuffle_partitions
+from lodestar.llm.common import materialise, shuffle_partitions, small_batches
 
 
 def canonical(text: str | None) -> bytes:
@@ -123,6 +123,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     last text of each range travel again, to meet their neighbours.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         .repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first())
@@ -134,8 +135,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         out, last = _Edited(), None
         part = None
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, 200):
+                batch = whole.slice(at, 200)
                 edges = []
                 for p, i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                     if last is None:

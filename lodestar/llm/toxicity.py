@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.llm.common import small_batches
+
 #: Width of the hashed feature space.
 BITS = 20
 
@@ -144,6 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, id_col:
 
 def scores(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row.  Null and empty texts score the bias alone."""
+    small_batches(docs.sparkSession)
     spread = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
@@ -172,6 +175,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose score stays below the threshold."""
+    small_batches(docs.sparkSession)
     spread = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
