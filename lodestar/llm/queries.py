@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.llm import fingerprints, ngram_jaccard, sharding, suffix_dedup, token_counts, token_output, toxicity
+from lodestar.llm import decontamination, fingerprints, html_extraction, mixing, ngram_jaccard, sharding, suffix_dedup, token_counts, token_output, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,14 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -45,6 +53,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mixing.mix(documents, labels, {"plain": 0.8, "poor": 0.1, "toxic": 0.1})
+
+
 def queries() -> dict:
     return {
         f.__name__: f
@@ -52,10 +65,13 @@ def queries() -> dict:
             op1_ngram_jaccard,
             op2_suffix_dedup,
             op3_document_fingerprints,
+            op4_decontamination,
+            op5_html_extraction,
             op6_token_counts,
             op7_token_output,
             op8_sharding,
             op9_toxicity,
+            op10_mixing,
         )
     }
 
