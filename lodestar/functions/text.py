@@ -59,3 +59,10 @@ def published_date(text: Column) -> Column:
 def parse_timestamp(text: Column) -> Column:
     """ISO timestamps with or without fraction and offset; date-only and malformed strings give null, naive ones are UTC."""
     return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}T"), text.try_cast("timestamp"))
+
+
+def retry_after(header: Column, now: Column) -> Column:
+    """Seconds to wait by a Retry-After header: a number of seconds, or an HTTP date after ``now``; null for anything else."""
+    date = F.try_to_timestamp(F.regexp_extract(header, "^[A-Za-z]{3}, (.*) GMT$", 1), F.lit("dd MMM yyyy HH:mm:ss"))
+    until = (F.unix_micros(date) - F.unix_micros(now)) / 1e6
+    return F.when(header.rlike(r"^\d+$"), header.try_cast("double")).when(until > 0, until)

@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
-from lodestar.functions.text import parse_timestamp, word_count
+from lodestar.functions.text import parse_timestamp, retry_after, word_count
 from lodestar.functions.url import canonical_url, enforce_listing, listing_url, topic_slug, with_params
 from lodestar.sources.jsonl import add_missing, append_items, free_path, known_keys, merge_snapshots, read_jsonl, read_seeds
 
@@ -50,3 +50,19 @@ def test_text(spark):
     times = ["2024-01-01T00:00:00Z", "2024-01-01T02:00:00+0200", "2024-01-01T00:00:00.5", "2024-01-01", "x"]
     df = spark.createDataFrame([(x,) for x in times], "s string")
     assert [r[0] is not None for r in df.select(parse_timestamp(F.col("s"))).collect()] == [True, True, True, False, False]
+
+
+def test_retry_after(spark):
+    rows = [("120",), ("Wed, 01 May 2024 00:01:00 GMT",), ("Wed, 01 May 2023 00:01:00 GMT",), ("soon",), (None,)]
+    now = F.lit("2024-05-01 00:00:00").cast("timestamp")
+    got = spark.createDataFrame(rows, "h string").select(retry_after(F.col("h"), now)).collect()
+    assert [r[0] for r in got] == [120.0, 60.0, None, None, None]
+
+
+def test_merge_command(spark, tmp_path, capsys):
+    from lodestar.plans.merge import main
+
+    (tmp_path / "a.jsonl").write_text('{"canonical_url":"https://x/1","version":1}\n{"version":1}\n')
+    assert main(["--inputs", str(tmp_path / "*.jsonl"), "--output", str(tmp_path / "m")], spark) == 0
+    assert "2 read, 1 kept" in capsys.readouterr().out
+    assert main(["--inputs", str(tmp_path / "none*.jsonl"), "--output", str(tmp_path / "m")], spark) == 1
