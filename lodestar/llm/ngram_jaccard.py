@@ -22,14 +22,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import drop_written, materialise, shuffle_partitions, small_batches
+from lodestar.llm.common import drop_written, materialise, shuffle_partitions, slim, small_batches
 from lodestar.llm.components import connected_components
 
 #: Entries of a worker's memo of word hashes; it is emptied beyond that, so memory stays bounded.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 120_000
 
-#: Shingles in the order's table of heavy ones.  Any table gives the same links; its size bounds the broadcast.
-HEAVY = 100_000
+#: Shingles in the order's table of heavy ones, each of HEAVY_SETS sets or more.  Any table gives the same links; its size bounds the broadcast.
+HEAVY = 300_000
+HEAVY_SETS = 4
 
 #: A table of ids is broadcast up to so many rows; beyond that it is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -93,49 +94,57 @@ def set_id(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
-class _Heavy:
-    """Counts shingles over a task's documents and passes on those met three times or more."""
+class _Frequent:
+    """Counts the shingles of a task's documents and passes on those met three times or more in a window of two million."""
+
+    WINDOW = 2_000_000
 
     def __init__(self):
-        self.parts, self.size = [], 0
+        self.parts: list[np.ndarray] = []
 
-    def add(self, shingles: np.ndarray):
-        self.parts.append(shingles)
-        self.size += len(shingles)
-        return self.flush() if self.size > 2_000_000 else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    def add(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        self.parts += sets
+        return self.flush() if sum(map(len, self.parts)) > self.WINDOW else self.flush([])
 
-    def flush(self):
-        keys, counts = np.unique(np.concatenate(self.parts), return_counts=True) if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        self.parts, self.size = [], 0
-        return keys[counts >= 3], counts[counts >= 3]
+    def flush(self, parts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        if parts is None:
+            parts, self.parts = self.parts, []
+        keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]), return_counts=True)
+        return keys[counts >= 3].view(np.int64), counts[counts >= 3]
 
 
 def _profile(docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """Rows (kind 0, doc_id, n, sid) of each document and (kind 1, null, count, shingle) of shingles frequent in a task."""
+    """Rows (kind 0, doc_id, n, sid) of each document and (kind 1, null, count, shingle) of shingles.
+
+    The latter are each set's first in the order of their hashes, which count over the whole
+    corpus, and any that are frequent among a task's documents.
+    """
     words = similarity.words
 
     def profile(batches):
-        shingler, heavy = Shingler(words), _Heavy()
+        shingler, frequent = Shingler(words), _Frequent()
 
-        def out(ids, ns, sids, keys, counts):
+        def rows(ids, ns, sids, keys, counts):
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([0] * len(ids) + [1] * len(keys), pa.int32()),
-                    pa.array([*ids, *[None] * len(keys)], pa.int64()),
-                    pa.array([*ns, *counts.tolist()], pa.int64()),
-                    pa.array([*sids, *keys.view(np.int64).tolist()], pa.int64()),
+                    pa.array(np.repeat(np.array([0, 1], np.int32), [len(ids), len(keys)])),
+                    pa.concat_arrays([ids, pa.nulls(len(keys), pa.int64())]),
+                    pa.concat_arrays([pa.array(ns, pa.int64()), pa.array(counts, pa.int64())]),
+                    pa.concat_arrays([pa.array(sids, pa.int64()), pa.array(keys, pa.int64())]),
                 ],
                 names=["kind", "doc_id", "n", "sid"],
             )
 
         for batch in batches:
             sets = [shingler(t) for t in batch.column(1).to_pylist()]
-            keys, counts = zip(*(heavy.add(s) for s in sets), strict=True)
             sids = [set_id(s) if len(s) else None for s in sets]
-            yield out(batch.column(0).to_pylist(), [len(s) for s in sets], sids, np.concatenate(keys), np.concatenate(counts))
-        yield out([], [], [], *heavy.flush())
+            once = list({i: s for i, s in zip(sids, sets, strict=True) if i is not None}.values())
+            first = np.concatenate([np.zeros(0, np.uint64), *(s[: similarity.prefix(len(s))] for s in once)]).view(np.int64)
+            keys, counts = frequent.add(once)
+            yield rows(batch.column(0), [len(s) for s in sets], sids, np.concatenate([first, keys]), np.concatenate([np.ones(len(first), np.int64), counts]))
+        yield rows(pa.array([], pa.int64()), [], [], *frequent.flush())
 
-    return docs.mapInArrow(profile, "kind int, doc_id long, n long, sid long")
+    return docs.mapInArrow(slim(profile), "kind int, doc_id long, n long, sid long")
 
 
 def _entries(docs: DataFrame, similarity: Similarity, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -165,7 +174,7 @@ def _entries(docs: DataFrame, similarity: Similarity, heavy: tuple[np.ndarray, n
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["token", "sid", "n", "pos"])
 
-    return docs.mapInArrow(entries, "token long, sid long, n int, pos int")
+    return docs.mapInArrow(slim(entries), "token long, sid long, n int, pos int")
 
 
 def _hinted(df: DataFrame) -> DataFrame:
@@ -211,7 +220,7 @@ def _overlaps(pairs: DataFrame, docs: DataFrame, owners: DataFrame, similarity:
                     a.append(sid), b.append(h), linked.append(similarity.links(shared, len(hub), len(s)))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
-    done = materialise(dealt.mapInArrow(compare, "a long, b long, linked boolean").distinct(), "jaccard-answers")
+    done = materialise(dealt.mapInArrow(slim(compare), "a long, b long, linked boolean").distinct(), "jaccard-answers")
     for df in (pairs, wanted, texts):
         drop_written(df)
     return done
@@ -242,15 +251,15 @@ def classes(docs: DataFrame, similarity: Similarity = Similarity(), id_col: str
     members = profile.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "sid")
     owners = members.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
 
-    top = profile.where("kind = 1").groupBy("sid").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "sid").limit(HEAVY).toPandas()
+    # Shingles that many sets would index go to the end of the order, the heaviest last.
+    top = profile.where("kind = 1").groupBy("sid").agg(F.sum("n").alias("n")).where(F.col("n") >= HEAVY_SETS)
+    top = top.orderBy(F.desc("n"), "sid").limit(HEAVY).toPandas()
     keys = top["sid"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     entries = materialise(_entries(docs, similarity, (keys[order], top["n"].to_numpy(np.int64)[order])), "jaccard-entries")
 
-    lists = materialise(
-        entries.groupBy("token").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("token"), "jaccard-lists"
-    )
-    index = materialise(entries.join(_hinted(lists), "token").select("token", "sid", "n", "pos"), "jaccard-index")
+    lists = materialise(entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token"), "jaccard-lists")
+    index = materialise(entries.join(lists.hint("shuffle_hash"), "token").select("token", "sid", "n", "pos"), "jaccard-index")
     drop_written(entries)
     drop_written(lists)
 
