@@ -21,7 +21,7 @@ def brute(rows):
         cut = len(t) // 4
         edited = t[: len(t) - cut] + following[:cut]
         f, g, h = (digest(canonical(x)) for x in (t, edited, following))
-        out.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), f, g, float(f == g), float(f == h)))
+        out.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), f, g, float(f == g), float(f == h), group(rows, i, t)))
     return sorted(out)
 
 
@@ -32,11 +32,18 @@ def test_edited(spark):
         assert sorted(map(tuple, edited_fingerprints(df).collect())) == brute(rows)
 
 
+def group(rows, i, t):
+    return min((j for j, u in rows if j is not None and canonical(u) == canonical(t)), default=None)
+
+
 def test_groups(spark):
-    rows = list(enumerate(TEXTS)) + [(None, "Abc def")]
+    rows = list(enumerate(TEXTS)) + [(None, "Abc def"), (None, "alone")]
     df = spark.createDataFrame([(i, t, 1, "x", 2) for i, t in rows], SCHEMA).repartition(3)
-    want = sorted(((i, digest(canonical(t)), 0, min(j for j, u in rows if j is not None and canonical(u) == canonical(t))) for i, t in rows), key=str)
-    assert sorted(map(tuple, exact_groups(df).collect()), key=str) == want
+    for digits in (32, 1, 0):
+        want = sorted(((i, digest(canonical(t), digits), group(rows, i, t)) for i, t in rows), key=str)
+        got = sorted(map(tuple, exact_groups(df, digits=digits).collect()), key=str)
+        assert len(got) == len(want)
+        assert [g for g in got if g[0] is not None or digits] == [w for w in want if w[0] is not None or digits]
 
 
 def test_empty(spark):

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lodestar.llm import mixing
-from lodestar.llm.toxicity import Features, Model, fit, held_out, keep_clean, toxicity, train
+from lodestar.llm.toxicity import Examples, Features, Model, fit, held_out, keep_clean, toxicity, train
 
 SCHEMA = "doc_id long, text string, toxic int, score double"
 BAD = ["grum", "plox", "zarn", "vuke"]
@@ -69,9 +69,10 @@ def test_no_labels_no_rows(spark):
 def test_model_is_sparse():
     r = random.Random(2)
     f = Features()
-    data = [(f(" ".join(r.choice("abcdefgh") for _ in range(20)) + (" bad" if i % 4 == 0 else "")), int(i % 4 == 0)) for i in range(400)]
+    data = Examples()
+    data.add([f(" ".join(r.choice("abcdefgh") for _ in range(20)) + (" bad" if i % 4 == 0 else "")) for i in range(400)], [int(i % 4 == 0) for i in range(400)])
     m = fit(data)
-    assert 0 < len(m.index) < 2000 and Model().score(data[0][0], Model().dense()) == 0.5
+    assert 0 < len(m.index) < 2000 and Model().score(next(iter(data))[0], Model().dense()) == 0.5
 
 
 def test_rates_match_targets(spark):

@@ -29,3 +29,47 @@ def test_registered(spark, sf):
     assert [n.split("_")[0] for n in q] == [f"op{i}" for i in range(1, 11)]
     for name in ("op4_decontamination", "op5_html_extraction", "op10_mixing"):
         assert q[name](spark, sf).count() > 0
+
+
+def test_run_equals_brute_force(spark, sf):
+    """All five stages again, row by row in plain Python; only the fitted models and multipliers are taken from the operators."""
+    import sys
+    import zlib
+    from pathlib import Path
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    sys.path.insert(0, str(Path(__file__).parent))
+    from test_decontamination import brute as leaks
+    from test_ngram_jaccard import brute as near_classes
+
+    from lodestar.llm import mixing, toxicity
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+
+    features, model = toxicity.Features(), toxicity.train(docs, labels)
+    dense = model.dense()
+    rows = [(i, t) for i, t in rows if model.score(features(t or ""), dense) < cp.TOXIC]
+    root = {i: c for i, _, c in near_classes(rows, cp.NEAR)}
+    rows = [(i, t) for i, t in rows if root[i] == i]
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
+    leaking = {x[0] for x in leaks(rows, items)}
+    rows = [(i, t) for i, t in rows if i not in leaking]
+
+    kept = docs.join(spark.createDataFrame([(i,) for i, _ in rows], "doc_id long"), "doc_id", "left_semi")
+    domains = mixing.train(kept, labels)
+    m = mixing.fit_rates(cp.materialise(mixing.posteriors(kept, domains), "test"), cp.WEIGHTS, 1.0, grow=True)
+    dense = [w.dense() for w in domains.words]
+    n = [int(mixing.copies(np.array([max(1.0, 1.0 - float(domains.posterior(t or "", features(t or ""), dense) @ m))]), [i])[0]) for i, t in rows]
+    rows = sorted((i, t or "") for (i, t), k in zip(rows, n) for _ in range(k))
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path("byte_bpe_50k.json"))
+    want, start = [], 0
+    for i, t in rows:
+        ids = tokenizer.encode(t, add_special_tokens=False).ids + [2]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, cp.run(spark, sf).collect())) == sorted(want)
