@@ -19,8 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import materialise, small_batches
-from lodestar.llm.toxicity import Features, held_out
+from lodestar.llm.common import materialise, slim, small_batches
+from lodestar.llm.toxicity import Examples, Features, Model, held_out
 from lodestar.llm.toxicity import fit as fit_ftrl
 
 #: Domains of a labelled row.
@@ -110,27 +110,26 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4_000, id_col:
         features = Features()
         rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
         rows.sort(key=lambda r: (xxhash.xxh3_64_intdigest(str(r[0])), r[0], r[1]))
-        hashed = [features(t) for _, t, _ in rows]
+        words = Examples()
+        words.add([features(t) for _, t, _ in rows[::2]], [r[2] for r in rows[::2]])
         out = []
         if rows:
             models = [
-                fit_ftrl([(f, int(r[2] == k)) for f, r in zip(hashed[::2], rows[::2], strict=True)], positive_weight=1.0) for k in range(len(DOMAINS))
+                fit_ftrl(words.arrange(list(range(len(words))), [int(y == k) for y in words.labels]), positive_weight=1.0) for k in range(len(DOMAINS))
             ]
             dense = [m.dense() for m in models]
-            rest = list(zip(hashed[1::2], rows[1::2], strict=True)) or list(zip(hashed, rows, strict=True))
-            x = np.array([_inputs(r[1], f, models, dense) for f, r in rest])
-            w = _softmax(x, np.array([r[2] for _, r in rest]), len(DOMAINS))
+            rest = rows[1::2] or rows
+            x = np.array([_inputs(t, features(t), models, dense) for _, t, _ in rest])
+            w = _softmax(x, np.array([r[2] for r in rest]), len(DOMAINS))
             out = [(-1 - i, k, float(w[i, k])) for i in range(w.shape[0]) for k in range(w.shape[1])]
             for k, m in enumerate(models):
                 out += [(1 << 40, k, m.bias), *((int(i), k, float(v)) for i, v in zip(m.index, m.weight, strict=True))]
         columns = list(zip(*out, strict=True)) or [[]] * 3
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.float64()), strict=True)], names=["at", "domain", "weight"])
 
-    found = sample.repartition(1).mapInArrow(learn, "at long, domain int, weight double").toPandas()
+    found = sample.repartition(1).mapInArrow(slim(learn), "at long, domain int, weight double").toPandas()
     if not len(found):
         return None
-    from lodestar.llm.toxicity import Model
-
     softmax = found[found["at"] < 0].pivot(index="at", columns="domain", values="weight").sort_index(ascending=False).to_numpy()
     models = []
     for k in range(len(DOMAINS)):
@@ -172,13 +171,15 @@ def posteriors(docs: DataFrame, domains: Domains | None, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens), *(pa.array(p[:, k]) for k in range(len(DOMAINS)))], names=names)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS))
+    return texts.mapInArrow(slim(run), "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS))
 
 
 def rate(multipliers: np.ndarray, least_rate: float, columns=DOMAINS) -> Column:
+    """The rates' expression.  The multipliers are one array value, so each step of the fit runs the same compiled code."""
+    m = F.array(*[F.lit(float(x)) for x in multipliers])
     z = F.lit(1.0)
-    for d, m in zip(columns, multipliers.tolist(), strict=True):
-        z = z - F.col(d) * F.lit(m)
+    for i, d in enumerate(columns):
+        z = z - F.col(d) * F.get(m, F.lit(i))
     return F.greatest(F.lit(float(least_rate)), z)
 
 
@@ -190,7 +191,7 @@ def fit_rates(
     Domains with a weight share the total, by default the tokens at hand; with
     ``grow`` the least total for which no domain has to shrink.  A domain
     without a weight is left to itself.  A target that no rates reach, as of a domain
-    without tokens, is approached as far as the steps lead.
+    without tokens, is approached until three steps in a row bring it no nearer.
     """
     used = [d for d in DOMAINS if weights.get(d)]
     share = np.array([weights[d] for d in used]) / sum(weights[d] for d in used)
@@ -201,7 +202,7 @@ def fit_rates(
         return np.zeros(len(DOMAINS))
     goal = share * (max(now / share) if grow else total)
     m = np.zeros(len(used))
-    best, best_error = m, np.inf
+    best, best_error, idle = m, np.inf, 0
     for _ in range(steps):
         r = rate(m, least_rate, used)
         held = F.col("n_tokens") * r
@@ -211,9 +212,10 @@ def fit_rates(
         got = np.array([float(x) for x in soft.agg(*[c.alias(f"c{i}") for i, c in enumerate(sums + square)]).first()])
         miss = (got[: len(used)] - goal) / total
         error = float(np.abs(miss * total / goal).max())
+        idle = 0 if error < best_error - tolerance / 10 else idle + 1
         if error < best_error:
             best, best_error = m, error
-        if error < tolerance:
+        if error < tolerance or idle == 3:
             break
         hessian = got[len(used) :].reshape(len(used), -1) / total
         m = m + np.linalg.solve(hessian + 1e-6 * np.eye(len(used)), miss)
@@ -258,4 +260,4 @@ def resample(docs: DataFrame, labels: DataFrame, weights: dict[str, float], leas
             n = copies(r, batch.column(at_id).to_pylist())
             yield batch.take(pa.array(np.repeat(np.arange(batch.num_rows), n)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(slim(run), docs.schema)

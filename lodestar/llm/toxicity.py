@@ -14,13 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import small_batches
+from lodestar.llm.common import slim, small_batches
 
 #: Width of the hashed feature space.
 BITS = 20
 
 #: Entries of a worker's memo of word hashes; it is emptied beyond that, so memory stays bounded.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 150_000
 
 _STRIPPED = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -71,8 +71,43 @@ class Model:
         return 1.0 / (1.0 + float(np.exp(-min(max(z, -35.0), 35.0))))
 
 
+class Examples:
+    """Labelled rows of distinct features, held in a few large arrays."""
+
+    def __init__(self):
+        self.parts: list[np.ndarray] = []
+        self.lengths: list[int] = []
+        self.labels: list[int] = []
+
+    def add(self, rows: list[np.ndarray], labels: list[int]) -> None:
+        rows = [np.unique(f).astype(np.int32) for f in rows]
+        self.parts.append(np.concatenate([np.zeros(0, np.int32), *rows]))
+        self.lengths += map(len, rows)
+        self.labels += labels
+
+    def arrange(self, order: list[int], labels: list[int] | None = None) -> Examples:
+        """The rows of ``order``, with other labels if given."""
+        flat = np.concatenate([np.zeros(0, np.int32), *self.parts])
+        ends = np.cumsum(self.lengths)
+        out = Examples()
+        out.parts = [np.concatenate([np.zeros(0, np.int32), *(flat[ends[i] - self.lengths[i] : ends[i]] for i in order)])]
+        out.lengths = [self.lengths[i] for i in order]
+        out.labels = [self.labels[i] for i in order] if labels is None else labels
+        return out
+
+    def __len__(self) -> int:
+        return len(self.labels)
+
+    def __iter__(self):
+        flat = self.parts[0] if len(self.parts) == 1 else np.concatenate([np.zeros(0, np.int32), *self.parts])
+        at = 0
+        for n, y in zip(self.lengths, self.labels, strict=True):
+            yield flat[at : at + n], y
+            at += n
+
+
 def fit(
-    examples: list[tuple[np.ndarray, int]],
+    examples: Examples,
     bits: int = BITS,
     alpha: float = 1.0,
     beta: float = 1.0,
@@ -81,17 +116,17 @@ def fit(
     epochs: int = 5,
     positive_weight: float = 3.0,
 ) -> Model:
-    """FTRL-proximal over (features, label) examples in the given order.
+    """FTRL-proximal over examples in the given order.
 
     ``positive_weight`` weighs examples of label 1, which are the rarer ones.
     """
     size = 1 << bits
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    examples = [(np.append(np.unique(f), size), y) for f, y in examples]
     l1_of = np.full(size + 1, l1)
     l1_of[size] = 0.0  # the bias is not shrunk
     for _ in range(epochs):
         for f, y in examples:
+            f = np.append(f, size)
             zf, root = z[f], np.sqrt(n[f])
             w = np.where(np.abs(zf) <= l1_of[f], 0.0, -(zf - np.sign(zf) * l1_of[f]) / ((beta + root) / alpha + l2))
             g = (1.0 / (1.0 + np.exp(-min(max(w.sum(), -35.0), 35.0))) - y) * (positive_weight if y else 1.0)
@@ -126,18 +161,18 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, id_col:
     )
 
     def learn(batches):
-        features = Features()
-        rows = []
+        features, found, keys = Features(), Examples(), []
         for batch in batches:
             ids, texts, ys = (batch.column(i).to_pylist() for i in range(3))
-            rows += [(zlib.crc32(str(i).encode()), i, zlib.crc32(t.encode("utf-8", "surrogatepass")), features(t).astype(np.int32), int(y)) for i, t, y in zip(ids, texts, ys, strict=True)]
-        rows.sort(key=lambda r: r[:3])
-        model = fit([(f, y) for _, _, _, f, y in rows]) if rows else Model()
+            keys += [(zlib.crc32(str(i).encode()), i, zlib.crc32(t.encode("utf-8", "surrogatepass"))) for i, t in zip(ids, texts, strict=True)]
+            found.add(list(map(features, texts)), list(map(int, ys)))
+        found = found.arrange(sorted(range(len(keys)), key=keys.__getitem__))  # the same order however the rows came
+        model = fit(found) if keys else Model()
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(model.index, -1)), pa.array(np.append(model.weight, model.bias))], names=["index", "weight"]
         )
 
-    fitted = sample.select("doc_id", "text", "toxic").repartition(1).mapInArrow(learn, "index long, weight double").toPandas()
+    fitted = sample.select("doc_id", "text", "toxic").repartition(1).mapInArrow(slim(learn), "index long, weight double").toPandas()
     if not len(fitted):
         return Model()
     fitted = fitted.sort_values("index")
@@ -161,7 +196,7 @@ def scores(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str =
 
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    ).mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+    ).mapInArrow(slim(score), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_rows: int = 12_000) -> DataFrame:
@@ -186,4 +221,4 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7, text_col:
             mask = [model.score(features(t or ""), dense) < threshold for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(slim(keep), docs.schema)
