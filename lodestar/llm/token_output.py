@@ -2,9 +2,9 @@
 
 Texts are dealt by ranges of the id, encoded in id order and written, one file
 for each range, as ``(doc_id, part, local_start, n_tokens, ids list<int>)``.
-Dictionary encoding holds the ids; Parquet's v2 writer falls back to delta
-encoding for columns without repeats, and page indexes let a reader fetch
-the metadata columns or the ids of some documents alone.
+The ids are delta encoded by Parquet's v2 writer and the other columns
+dictionary or delta encoded; page indexes let a reader fetch the metadata
+columns or the ids of some documents alone.
 """
 
 from __future__ import annotations
@@ -12,14 +12,17 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import new_path, shuffle_partitions
+from lodestar.llm.common import KEPT, new_path, shuffle_partitions, slim, small_batches
 
 FILE_SCHEMA = T.StructType(
     [
@@ -31,11 +34,32 @@ FILE_SCHEMA = T.StructType(
     ]
 )
 
-#: Entries of a worker's memo of encoded chunks; it is emptied beyond that, so memory stays bounded.
+#: A worker's memo of encoded chunks holds at most so many; beyond that the later third goes, so memory stays bounded.
 MEMO_CHUNKS = 300_000
 
-_SPACE_BY_SPACE = re.compile(r" \s|\s |^\s|\s$")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: A word with signs after it, up to letters for which all Unicode versions agree.
+_WORD_AND_SIGNS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?)]*)")
+
+
+class _Numbers(dict):
+    """Numbers for keys in the order they are first met; ``new`` lists those met since it was last emptied."""
+
+    def __init__(self, known=()):
+        super().__init__(known)
+        self.new: list = []
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        self.new.append(key)
+        return number
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class ChunkEncoder:
@@ -43,39 +67,135 @@ class ChunkEncoder:
 
     Such a vocabulary always begins a new piece at a lone space between two
     non-space characters, so a text is cut there, and each distinct chunk is
-    encoded once per worker by the library.  ``by_chunk=False`` encodes whole texts.
+    encoded once per worker by the library: a chunk that is a word, or a word
+    and signs, piece by piece with its model, any other by the whole tokenizer.
+    ``by_chunk=False`` encodes whole texts.
     """
 
-    def __init__(self, path: str, end_id: int | None, by_chunk: bool = True):
+    def __init__(self, path: str, end_id: int | None, by_chunk: bool = True, memo_chunks: int = MEMO_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        self.model = self.tokenizer.model
+        self.end = np.array([] if end_id is None else [end_id], np.int32)
         self.by_chunk = by_chunk
-        self.memo: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers, with the end id."""
+        self.memo_chunks = memo_chunks
+        self.letters = _byte_letters()
+        #: Keys: a chunk with a space before it is its string, one at a text's head is a tuple; () is the end id.
+        self.numbers = _Numbers({(): 0})
+        #: By number, where a chunk's ids start in ``flat`` and how many they are: -1 for a chunk with white space at an end.
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.start, self.length = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
+        self._put(0, [self.end])
+        self.signs: dict[str, list[int]] = {"": []}
+
+    def _put(self, first: int, ids: list) -> None:
+        lengths = np.array([-1 if x is None else len(x) for x in ids], np.int32)
+        real = np.maximum(lengths, 0)
+        values = np.array(list(chain.from_iterable(x for x in ids if x is not None)), np.int32)
+        while self.used + len(values) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while first + len(ids) > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+        self.flat[self.used : self.used + len(values)] = values
+        self.start[first : first + len(ids)] = self.used + np.cumsum(real) - real
+        self.length[first : first + len(ids)] = lengths
+        self.used += len(values)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        found = []
+        for i in range(0, len(texts), 20_000):
+            found += [e.ids for e in self.tokenizer.encode_batch_fast(texts[i : i + 20_000], add_special_tokens=False)]
+        return found
+
+    def _piece(self, piece: str) -> list[int]:
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(letters)]
+
+    def _learn(self) -> None:
+        new, self.numbers.new = self.numbers.new, []
+        first = len(self.numbers) - len(new)
+        ids: list = [None] * len(new)
+        others, signed, tokenize = [], [], self.model.tokenize
+        fresh: dict[str, list[int]] = {}
+        for i, key in enumerate(new):
+            if type(key) is tuple:
+                if not key[0][-1:].isspace():
+                    others.append((i, key[0]))
+            elif key.isascii() and key.isalpha():
+                ids[i] = fresh[key] = [t.id for t in tokenize("\u0120" + key)]
+            elif m := _WORD_AND_SIGNS.fullmatch(key):
+                signed.append((i, *m.groups()))
+            elif key and not key[0].isspace() and not key[-1].isspace():
+                others.append((i, " " + key))
+        for i, word, signs in signed:
+            if signs not in self.signs:
+                self.signs[signs] = self._piece(signs)
+            x = fresh.get(word)
+            if x is None:
+                at = self.numbers.get(word, first)
+                x = fresh[word] = self._piece(" " + word) if at >= first else self.flat[self.start[at] : self.start[at] + self.length[at]].tolist()
+            ids[i] = x + self.signs[signs]
+        for (i, _), x in zip(others, self._encode([c for _, c in others]), strict=True):
+            ids[i] = x
+        self._put(first, ids)
+
+    def _forget(self) -> None:
+        keep = self.memo_chunks * 2 // 3  # the first met are the frequent ones
+        self.numbers = _Numbers(islice(self.numbers.items(), keep))
+        self.used = int(self.start[keep - 1] + max(0, self.length[keep - 1]))
+
+    def _spaced(self, text: str) -> np.ndarray:
+        """A text with runs of white space: cut at its lone spaces only."""
+        first, *rest = _LONE_SPACE.split(text)
+        return np.concatenate([*(np.array(x, np.int32) for x in self._encode([first, *(" " + c for c in rest)])), self.end])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each text), each text's end id included."""
         if not self.by_chunk:
-            return [ids + self.end for ids in self._encode(texts)]
-        memo = self.memo
-        if len(memo) > MEMO_CHUNKS:
-            memo.clear()
-        chunks = []
-        for t in texts:
-            first, *rest = _LONE_SPACE.split(t) if _SPACE_BY_SPACE.search(t) else t.split(" ")
-            chunks.append([first, *[" " + c for c in rest]])
-        unseen = list({c for cs in chunks for c in cs}.difference(memo))
-        for i in range(0, len(unseen), 20_000):
-            some = unseen[i : i + 20_000]
-            memo.update(zip(some, self._encode(some), strict=True))
-        return [b"".join(map(memo.__getitem__, cs)) + self.end for cs in chunks]
+            ids = [np.concatenate([np.array(x, np.int32), self.end]) for x in self._encode(texts.to_pylist())]
+            return np.concatenate(ids or [self.end[:0]]), np.array([len(x) for x in ids], np.int64)
+        if not len(texts):
+            return self.end[:0], np.zeros(0, np.int64)
+        if len(self.numbers) > self.memo_chunks:
+            self._forget()
+        split = pc.split_pattern(texts, pattern=" ")
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        coded = split.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        codes = coded.indices.to_numpy()
+        numbers = np.fromiter(map(self.numbers.__getitem__, chunks), np.int64, len(chunks))
+        at = numbers[codes]
+        at[offsets[:-1]] = [self.numbers[(chunks[c],)] for c in codes[offsets[:-1]]]
+        self._learn()
+        at = np.insert(at, offsets[1:], 0)
+        bounds = offsets + np.arange(len(offsets))
+        lengths = self.length[at]
+        odd = np.minimum.reduceat(lengths, bounds[:-1]) < 0
+        lengths = np.maximum(lengths, 0)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        ids = self.flat[np.arange(ends[-1], dtype=np.int32) + np.repeat((self.start[at] - (ends - lengths)).astype(np.int32), lengths)]
+        counts = np.add.reduceat(lengths, bounds[:-1], dtype=np.int64)
+        if odd.any():
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            for i in np.nonzero(odd)[0]:
+                parts[i] = self._spaced(texts[int(i)].as_py())
+            ids, counts = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        return ids, counts
+
+
+@lru_cache(maxsize=1)
+def encoder_for(path: str, end_id: int | None, by_chunk: bool, memo_chunks: int) -> ChunkEncoder:
+    """A worker's encoder, which keeps its memo from task to task."""
+    return ChunkEncoder(path, end_id, by_chunk, memo_chunks)
+
+
+KEPT["encode_ids"] = encoder_for.cache_clear
 
 
 def is_byte_level(path: str) -> bool:
@@ -96,6 +216,7 @@ def write_tokens(
     row_group_bytes: int = 16 << 20,
     page_bytes: int = 256 << 10,
     page_rows: int = 2_000,
+    memo_chunks: int = MEMO_CHUNKS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> None:
@@ -107,6 +228,7 @@ def write_tokens(
     their text.  An empty table writes a file without rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     by_chunk = is_byte_level(tokenizer_path)
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -115,28 +237,24 @@ def write_tokens(
         .select("doc_id", F.spark_partition_id().alias("part"), "text")
     )
 
-    def encode(batches):
-        encoder = ChunkEncoder(tokenizer_path, end_id, by_chunk)
+    def encode_ids(batches):
+        encoder = encoder_for(tokenizer_path, end_id, by_chunk, memo_chunks)
         start = 0
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                ids = encoder.encode(batch.column(2).to_pylist())
-                lengths = np.array([len(b) // 4 for b in ids], np.int64)
-                ends = np.cumsum(lengths)
-                offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-                values = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(start + ends - lengths), pa.array(lengths), pa.ListArray.from_arrays(offsets, values)],
-                    names=FILE_SCHEMA.names,
-                )
-                start += int(ends[-1])
+        for batch in (whole.slice(at, 250) for whole in batches for at in range(0, whole.num_rows, 250)):
+            ids, lengths = encoder.encode(batch.column(2))
+            ends = np.cumsum(lengths)
+            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(start + ends - lengths), pa.array(lengths), pa.ListArray.from_arrays(offsets, pa.array(ids))],
+                names=FILE_SCHEMA.names,
+            )
+            start += int(lengths.sum())
 
     (
-        ordered.mapInArrow(encode, FILE_SCHEMA)
+        ordered.mapInArrow(slim(encode_ids), FILE_SCHEMA)
         .write.option("parquet.enable.dictionary", "true")
         .option("parquet.writer.version", "v2")
-        .option("parquet.dictionary.page.size", str(1 << 20))
+        .option("parquet.enable.dictionary#ids.list.element", "false")
         .option("parquet.block.size", str(row_group_bytes))
         .option("parquet.page.size", str(page_bytes))
         .option("parquet.page.row.count.limit", str(page_rows))
@@ -192,12 +310,12 @@ def token_digests(tokens: DataFrame) -> DataFrame:
                 names=["doc_id", "start", "n_tokens", "ids_crc32"],
             )
 
-    return tokens.mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return tokens.mapInArrow(slim(digest), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_output(docs: DataFrame, tokenizer_path: str, path: str | None = None, end_id: int | None = 2) -> DataFrame:
+def token_output(docs: DataFrame, tokenizer_path: str, path: str | None = None, end_id: int | None = 2, memo_chunks: int = MEMO_CHUNKS) -> DataFrame:
     """Write the ids of ``docs`` (see ``write_tokens``) and return the digests of what the files hold."""
     spark = docs.sparkSession
     path = path or new_path(spark, "tokens")
-    write_tokens(docs, path, tokenizer_path, end_id)
+    write_tokens(docs, path, tokenizer_path, end_id, memo_chunks=memo_chunks)
     return token_digests(read_tokens(spark, path))

@@ -10,7 +10,6 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
-from lodestar.llm import token_output as out_module  # noqa: E402
 from lodestar.llm.token_counts import CACHE_SCHEMA, token_counts, tokenizer_version  # noqa: E402
 from lodestar.llm.token_output import ChunkEncoder, read_index, read_tokens, token_output, write_tokens  # noqa: E402
 
@@ -87,10 +86,9 @@ def test_empty(spark):
     assert token_counts(empty, WORD).count() == 0 and token_output(empty, BYTE).count() == 0
 
 
-def test_encoder_memo_is_bounded(spark, sf, monkeypatch):
-    monkeypatch.setattr(out_module, "MEMO_CHUNKS", 500)
+def test_encoder_memo_is_bounded(spark, sf):
     texts = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").limit(60).collect()]
-    chunked, whole = ChunkEncoder(BYTE, 2), ChunkEncoder(BYTE, 2, by_chunk=False)
+    chunked, whole = ChunkEncoder(BYTE, 2, memo_chunks=500), ChunkEncoder(BYTE, 2, by_chunk=False)
     for i in range(0, 60, 10):
         a, b = chunked.encode(pa.array(texts[i : i + 10])), whole.encode(pa.array(texts[i : i + 10]))
         assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
