@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import materialise, shuffle_partitions, small_batches
+from lodestar.llm.common import materialise, shuffle_partitions, slim, small_batches
 
 
 def canonical(text: str | None) -> bytes:
@@ -23,8 +23,8 @@ def canonical(text: str | None) -> bytes:
     return unicodedata.normalize("NFKC", " ".join(text.split())).encode("utf-8", "surrogatepass")
 
 
-def digest(canonical_bytes: bytes) -> str:
-    return xxhash.xxh3_128_hexdigest(canonical_bytes)
+def digest(canonical_bytes: bytes, digits: int = 32) -> str:
+    return xxhash.xxh3_128_hexdigest(canonical_bytes)[:digits]
 
 
 def likeness(a: bytes, b: bytes, digest_a: str, digest_b: str) -> float:
@@ -32,37 +32,59 @@ def likeness(a: bytes, b: bytes, digest_a: str, digest_b: str) -> float:
     return float(digest_a == digest_b and a == b)
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, variant, group_id) of each row: rows of one canonical text share a group_id, their least id.
+#: A table of ids is broadcast up to so many rows; beyond that it is joined by a shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def _hinted(df: DataFrame) -> DataFrame:
+    """A written table as the small side of a join: broadcast if its counted rows are few, else hashed after a shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df.hint("shuffle_hash")
 
-    Rows are grouped by digest and compared byte by byte there; ``variant`` is
-    0 but for canonical texts that share a digest with a smaller other one.
-    Copies are merged in each task before they travel, so a hot group is small
-    when it arrives.  Null texts are empty; null ids stand in no group_id; an
-    empty table gives no rows.
-    """
+
+def _forms(docs: DataFrame, digits: int) -> DataFrame:
+    """(doc_id, fingerprint, form) of each row."""
 
     def keyed(batches):
         for batch in batches:
             forms = [canonical(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([digest(f) for f in forms]), pa.array(forms, pa.binary())], names=["doc_id", "fingerprint", "form"]
+                [batch.column(0), pa.array([digest(f, digits) for f in forms], pa.string()), pa.array(forms, pa.binary())],
+                names=["doc_id", "fingerprint", "form"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        keyed, "doc_id long, fingerprint string, form binary"
-    )
-    forms = rows.groupBy("fingerprint", "form").agg(F.min("doc_id").alias("group_id"))
-    forms = materialise(forms, "fingerprint-forms")
-    # Digests with more than one form are collisions: the few of them get numbered variants.
-    clashing = forms.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
-    variants = (
-        forms.join(clashing, "fingerprint", "left_semi").groupBy("fingerprint").agg(F.sort_array(F.collect_list("form")).alias("all"))
-    )
-    return (
-        rows.join(forms, ["fingerprint", "form"])
-        .join(variants, "fingerprint", "left")
-        .select("doc_id", "fingerprint", F.coalesce(F.array_position("all", F.col("form")) - 1, F.lit(0)).cast("int").alias("variant"), "group_id")
+    return docs.mapInArrow(slim(keyed), "doc_id long, fingerprint string, form binary")
+
+
+def exact_groups(docs: DataFrame, prints: DataFrame | None = None, digits: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``prints`` with group_id: rows of one canonical text share the least doc_id among them.
+
+    ``prints`` is a written table with doc_id and fingerprint, by default one row (doc_id,
+    fingerprint) for each row of ``docs``.  Rows are grouped by digest.  Where a digest has more than one row,
+    canonical bytes are compared: equal ones are merged in each task before
+    they travel, so a hot group is small when it arrives.  Canonical texts that
+    share a digest without being equal (``digits`` of it can be shortened to
+    see that) form groups of their own; only rows that share both an id and such a digest are not
+    told apart and take the least of their groups.  Null texts are empty; null ids name no
+    group and have a null one alone; an empty table gives no rows.
+    """
+    small_batches(docs.sparkSession)
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    if prints is None:
+        prints = materialise(_forms(docs, digits).select("doc_id", "fingerprint"), "fingerprint-ids")
+    shared = prints.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("doc_id").alias("least_id")).where("n > 1")
+    shared = materialise(shared.select("fingerprint", "least_id"), "fingerprint-shared")
+    ids = materialise(prints.join(shared, "fingerprint", "left_semi").select(F.col("doc_id").alias("id")).distinct(), "fingerprint-check")
+    forms = _forms(docs.join(_hinted(ids), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"), digits)
+    equal = materialise(forms.groupBy("fingerprint", "form").agg(F.min("doc_id").alias("form_id"), F.count("*").alias("n")), "fingerprint-forms")
+    clashing = materialise(equal.groupBy("fingerprint").agg(F.count("*").alias("forms")).where("forms > 1").select("fingerprint"), "fingerprint-clashes")
+    whole = prints.join(shared, "fingerprint", "left")
+    grouped = whole.withColumn("group_id", F.coalesce("least_id", "doc_id")).drop("least_id").select(*prints.columns, "group_id")
+    if not clashing.limit(1).count():
+        return grouped
+    apart = forms.join(clashing, "fingerprint", "left_semi").join(equal.select("fingerprint", "form", "form_id"), ["fingerprint", "form"])
+    apart = apart.groupBy(F.col("doc_id").alias("id"), F.col("fingerprint").alias("print")).agg(F.min("form_id").alias("form_id"))
+    return grouped.join(apart, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("fingerprint") == F.col("print")), "left").select(
+        *prints.columns, F.when(F.col("print").isNull(), F.col("group_id")).otherwise(F.coalesce("form_id", "doc_id")).alias("group_id")
     )
 
 
@@ -114,7 +136,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Fingerprint every text, and the text with its last quarter replaced by the head of the next document's.
 
     One row (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next) for each row of ``docs``.  The next document is the
+    near_edited, near_next, group_id), see ``exact_groups``, for each row of ``docs``.  The next document is the
     next in ascending id order (nulls first, equal ids by text), after the last the first; a
     single document follows itself.  Null texts are empty; an empty table gives
     no rows.  Other columns are not read.
@@ -149,7 +171,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if last is not None:
             yield out.batch(part, [("tail", *last)])
 
-    done = materialise(ordered.mapInArrow(within, _OUT + ", part int, edge string, edge_id long, edge_text string"), "fingerprints")
+    done = materialise(ordered.mapInArrow(slim(within), _OUT + ", part int, edge string, edge_id long, edge_text string"), "fingerprints")
     parts = sorted(r["part"] for r in done.where("edge = 'head'").select("part").collect())
     following = list(zip(parts, parts[1:] + parts[:1], strict=True))
     heads = done.where("edge = 'head'").select(F.col("part").alias("next_part"), F.col("edge_text").alias("next_text"))
@@ -168,4 +190,5 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             yield out.batch(None)
 
     names = [x.split()[0] for x in _OUT.split(", ")]
-    return done.where("edge is null").select(*names).unionByName(pairs.mapInArrow(across, _OUT))
+    rows = materialise(done.where("edge is null").select(*names).unionByName(pairs.mapInArrow(slim(across), _OUT)), "fingerprint-rows")
+    return exact_groups(docs, rows, id_col=id_col, text_col=text_col)
