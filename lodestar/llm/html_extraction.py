@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import materialise, small_batches
+from lodestar.llm.common import materialise, slim, small_batches
 
 #: A table of page ids is broadcast up to so many rows; beyond that it is joined by a shuffle.
 BROADCAST_ROWS = 200_000
@@ -226,7 +226,7 @@ def main_text(pages: DataFrame, run: int = 6, page_col: str = "page_id", url_col
                 names=["host", "gram", "low", "high", "loose"],
             )
 
-    stream = materialise(pages.mapInArrow(suffixes, "host string, gram long, low long, high long, loose boolean"), "page-suffixes")
+    stream = materialise(pages.mapInArrow(slim(suffixes), "host string, gram long, low long, high long, loose boolean"), "page-suffixes")
     repeated = (
         stream.where("not loose").groupBy("host", "gram").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("host", "gram")
     )
@@ -253,5 +253,5 @@ def main_text(pages: DataFrame, run: int = 6, page_col: str = "page_id", url_col
     return (
         pages.join(small, F.col("page_key") == F.col("covered_key"), "left")
         .select("page_id", "url", "html", "repeated")
-        .mapInArrow(extract, "page_id long, url string, text string, n_chars long")
+        .mapInArrow(slim(extract), "page_id long, url string, text string, n_chars long")
     )

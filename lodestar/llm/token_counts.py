@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import materialise, new_path, small_batches
+from lodestar.llm.common import materialise, new_path, slim, small_batches
 
 CACHE_SCHEMA = T.StructType(
     [
@@ -164,7 +164,7 @@ def token_counts(
                 names=["version_digest", "content_digest", "n_tokens"],
             )
 
-    owned.mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache_dir)
+    owned.mapInArrow(slim(encode), CACHE_SCHEMA).write.mode("append").parquet(cache_dir)
 
     # A retried append or a repeated (id, text) row may leave a count twice: equal by construction.
     counts = cache().groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
