@@ -36,7 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_output.token_output(docs, tokenizer_path("byte_bpe_50k.json"))
+    return token_output.token_output(docs, tokenizer_path("byte_bpe_50k.json"), memo_chunks=60_000)  # little memory is left beside the other stages' workers
 
 
 STAGES = [

@@ -26,7 +26,7 @@ from lodestar.llm.common import drop_written, materialise, shuffle_partitions, s
 from lodestar.llm.components import connected_components
 
 #: Entries of a worker's memo of word hashes; it is emptied beyond that, so memory stays bounded.
-MEMO_WORDS = 120_000
+MEMO_WORDS = 60_000
 
 #: Shingles in the order's table of heavy ones, each of HEAVY_SETS sets or more.  Any table gives the same links; its size bounds the broadcast.
 HEAVY = 300_000

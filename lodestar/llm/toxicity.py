@@ -20,7 +20,7 @@ from lodestar.llm.common import slim, small_batches
 BITS = 20
 
 #: Entries of a worker's memo of word hashes; it is emptied beyond that, so memory stays bounded.
-MEMO_WORDS = 150_000
+MEMO_WORDS = 60_000
 
 _STRIPPED = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
