@@ -183,6 +183,13 @@ def rate(multipliers: np.ndarray, least_rate: float, columns=DOMAINS) -> Column:
     return F.greatest(F.lit(float(least_rate)), z)
 
 
+#: Weight of the rates' distance from 1 beside the squared miss of the targets.
+NEAR_ONE = 1e-6
+
+#: Parts of a step that are tried where the whole one overshoots.
+PARTS = (0.999, 0.99, 0.9, 0.7, *(0.5**i for i in range(1, 31)))
+
+
 def fit_rates(
     soft: DataFrame, weights: dict[str, float], least_rate: float = 0.0, grow: bool = False, steps: int = 40, tolerance: float = 1e-3
 ) -> np.ndarray:
@@ -190,8 +197,8 @@ def fit_rates(
 
     Domains with a weight share the total, by default the tokens at hand; with
     ``grow`` the least total for which no domain has to shrink.  A domain
-    without a weight is left to itself.  A target that no rates reach, as of a domain
-    without tokens, is approached until three steps in a row bring it no nearer.
+    without a weight is left to itself.  A step that overshoots along its own
+    direction is cut to the largest part that does not, so each step brings the fit nearer.
     """
     used = [d for d in DOMAINS if weights.get(d)]
     share = np.array([weights[d] for d in used]) / sum(weights[d] for d in used)
@@ -200,27 +207,35 @@ def fit_rates(
     total = now.sum()
     if not total:
         return np.zeros(len(DOMAINS))
-    goal = share * (max(now / share) if grow else total)
+    goal = share * (max(now / share) if grow else total) / total
+
+    def sums(columns: list[Column]) -> np.ndarray:
+        return np.array([float(x) for x in soft.agg(*[F.sum(c).alias(f"c{i}") for i, c in enumerate(columns)]).first()]) / total
+
+    def at(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What is left to mend at m, and how it changes with m.  Rates that stand just at the least can still grow: they count."""
+        held = F.col("n_tokens") * rate(m, least_rate, used)
+        active = F.when(rate(m, -np.inf, used) >= least_rate, F.col("n_tokens")).otherwise(0)
+        got = sums([held * F.col(d) for d in used] + [active * F.col(a) * F.col(b) for a in used for b in used])
+        return got[: len(used)] - goal - NEAR_ONE * m, got[len(used) :].reshape(len(used), -1) + NEAR_ONE * np.eye(len(used))
+
     m = np.zeros(len(used))
-    best, best_error, idle = m, np.inf, 0
+    left, slope = at(m)
     for _ in range(steps):
-        r = rate(m, least_rate, used)
-        held = F.col("n_tokens") * r
-        active = F.when(r > least_rate, F.col("n_tokens")).otherwise(0)
-        sums = [F.sum(held * F.col(d)) for d in used]
-        square = [F.sum(active * F.col(a) * F.col(b)) for a in used for b in used]
-        got = np.array([float(x) for x in soft.agg(*[c.alias(f"c{i}") for i, c in enumerate(sums + square)]).first()])
-        miss = (got[: len(used)] - goal) / total
-        error = float(np.abs(miss * total / goal).max())
-        idle = 0 if error < best_error - tolerance / 10 else idle + 1
-        if error < best_error:
-            best, best_error = m, error
-        if error < tolerance or idle == 3:
+        if float(np.abs(left / goal).max()) < tolerance:
             break
-        hessian = got[len(used) :].reshape(len(used), -1) / total
-        m = m + np.linalg.solve(hessian + 1e-6 * np.eye(len(used)), miss)
+        step = np.linalg.solve(slope, left)
+        ahead = at(m + step)
+        if ahead[0] @ step < 0:
+            along = F.lit(1.0) - rate(step, -np.inf, used)
+            z = rate(m, -np.inf, used)
+            got = sums([F.col("n_tokens") * along * F.greatest(F.lit(float(least_rate)), z - along * s) for s in PARTS])
+            over = got - goal @ step - NEAR_ONE * np.array([(m + s * step) @ step for s in PARTS])
+            step = next((s for s, x in zip(PARTS, over, strict=True) if x >= 0), PARTS[-1]) * step
+            ahead = at(m + step)
+        m, (left, slope) = m + step, ahead
     full = np.zeros(len(DOMAINS))
-    full[[DOMAINS.index(d) for d in used]] = best
+    full[[DOMAINS.index(d) for d in used]] = m
     return full
 
 

@@ -93,6 +93,23 @@ def test_rates_match_targets(spark):
     assert (np.maximum(1.0, 1 - p @ up) >= 1).all() and up[1] == 0
 
 
+def softly(spark, p, tokens):
+    p = np.column_stack([p, np.zeros((len(p), 3 - p.shape[1]))])
+    return spark.createDataFrame([(i, int(t), *map(float, x)) for i, (t, x) in enumerate(zip(tokens, p))], "doc_id long, n_tokens long, plain double, poor double, toxic double")
+
+
+def test_growing_rates_match_targets(spark):
+    """From the start all rates stand at the least one; overlapping posteriors need several steps."""
+    rng = np.random.default_rng(11)
+    tokens = rng.integers(1, 500, 3000)
+    p = rng.beta(0.5, 0.5, 3000)
+    p = np.column_stack([p, 1 - p])
+    m = mixing.fit_rates(softly(spark, p, tokens), {"plain": 0.9, "poor": 0.1}, least_rate=1.0, grow=True)
+    got = (np.maximum(1.0, 1 - p @ m[:2]) * tokens) @ p
+    goal = np.array([0.9, 0.1]) * max(tokens @ p / [0.9, 0.1])
+    assert np.abs(got / goal - 1).max() < 0.02
+
+
 def test_resample(spark):
     rows, labels = corpus(900)
     docs, marks = frames(spark, rows + [(None, None, 1, 1.0), rows[0]], labels)
