@@ -92,6 +92,11 @@ def contaminated(
     one row per item; null ids are carried; items of one id and text count once.
     Empty tables give no rows; other columns are not read.
     """
+    return _found(docs, benchmark, k, similarity, radius, id_col, text_col).drop("text_key")
+
+
+def _found(docs, benchmark, k=5, similarity=0.8, radius=23, id_col="doc_id", text_col="text") -> DataFrame:
+    """The rows of ``contaminated``, with the hash of the text that holds the item."""
     items = (
         benchmark.select("item_id", words(F.col("text")).alias("w"))
         .where(F.size("w") > 0)
@@ -103,7 +108,7 @@ def contaminated(
         for size in sorted(r["k"] for r in items.select("k").distinct().collect())
     ]
     if not found:
-        return docs.sparkSession.createDataFrame([], f"doc_id long, item_id {benchmark.schema['item_id'].dataType.simpleString()}, similarity double, start_word int")
+        return docs.sparkSession.createDataFrame([], f"doc_id long, text_key long, item_id {benchmark.schema['item_id'].dataType.simpleString()}, similarity double, start_word int")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -166,11 +171,16 @@ def _contaminated(docs, items, k, similarity, radius, id_col, text_col) -> DataF
     return (
         verified.groupBy("doc_id", "text_key", "item_id")
         .agg(F.max(F.struct(F.col("similarity"), (-F.col("start")).alias("s"))).alias("best"))
-        .select("doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.s")).cast("int").alias("start_word"))
+        .select("doc_id", "text_key", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.s")).cast("int").alias("start_word"))
     )
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that hold no benchmark item.  Rows of null id are judged like any other."""
-    ids = materialise(contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("leaking")).distinct(), "leaking")
-    return docs.join(_hinted(ids), F.col(options.get("id_col", "doc_id")).eqNullSafe(F.col("leaking")), "left_anti")
+    """The rows of ``docs``, all columns as they are, that hold no benchmark item.
+
+    Rows are judged by id and text: a clean text stays beside a leaking one of its id, be the id null or not.
+    """
+    found = _found(docs, benchmark, **options).select(F.col("doc_id").alias("leaking"), F.col("text_key").alias("leaking_text")).distinct()
+    found = materialise(found, "leaking")
+    id_, text = F.col(options.get("id_col", "doc_id")), F.coalesce(F.col(options.get("text_col", "text")), F.lit(""))
+    return docs.join(_hinted(found), id_.eqNullSafe(F.col("leaking")) & (F.xxhash64(text) == F.col("leaking_text")), "left_anti")

@@ -73,6 +73,15 @@ def test_equals_brute_force(spark, seed):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((i for i, _ in docs if i not in leaking), key=str)
 
 
+def test_rows_of_one_id_are_judged_apart(spark):
+    leak, clean = "a b c d e f g", "nothing of the kind is here"
+    rows = [(None, leak), (None, clean), (None, None), (1, leak), (1, clean), (1, clean), (2, leak.upper()), (3, "")]
+    d = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], DOCS)
+    b = spark.createDataFrame([(1, leak, 1)], ITEMS)
+    got = [(r["doc_id"], r["text"]) for r in keep_uncontaminated(d, b).collect()]
+    assert sorted(got, key=str) == sorted([(i, t) for i, t in rows if (t or "").lower() != leak], key=str)
+
+
 def test_empty(spark):
     d = spark.createDataFrame([(1, "a b c d e f", 1, 2)], DOCS)
     b = spark.createDataFrame([(1, "a b c d e f", 1)], ITEMS)
