@@ -114,7 +114,7 @@ class _Frequent:
 
 
 def _profile(docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """Rows (kind 0, doc_id, n, sid) of each document and (kind 1, null, count, shingle) of shingles.
+    """Rows (kind 0, doc_id, text_key, n, sid) of each document and (kind 1, null, null, count, shingle) of shingles.
 
     The latter are each set's first in the order of their hashes, which count over the whole
     corpus, and any that are frequent among a task's documents.
@@ -124,15 +124,16 @@ def _profile(docs: DataFrame, similarity: Similarity) -> DataFrame:
     def profile(batches):
         shingler, frequent = Shingler(words), _Frequent()
 
-        def rows(ids, ns, sids, keys, counts):
+        def rows(ids, texts, ns, sids, keys, counts):
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(np.array([0, 1], np.int32), [len(ids), len(keys)])),
                     pa.concat_arrays([ids, pa.nulls(len(keys), pa.int64())]),
+                    pa.concat_arrays([texts, pa.nulls(len(keys), pa.int64())]),
                     pa.concat_arrays([pa.array(ns, pa.int64()), pa.array(counts, pa.int64())]),
                     pa.concat_arrays([pa.array(sids, pa.int64()), pa.array(keys, pa.int64())]),
                 ],
-                names=["kind", "doc_id", "n", "sid"],
+                names=["kind", "doc_id", "text_key", "n", "sid"],
             )
 
         for batch in batches:
@@ -141,10 +142,11 @@ def _profile(docs: DataFrame, similarity: Similarity) -> DataFrame:
             once = list({i: s for i, s in zip(sids, sets, strict=True) if i is not None}.values())
             first = np.concatenate([np.zeros(0, np.uint64), *(s[: similarity.prefix(len(s))] for s in once)]).view(np.int64)
             keys, counts = frequent.add(once)
-            yield rows(batch.column(0), [len(s) for s in sets], sids, np.concatenate([first, keys]), np.concatenate([np.ones(len(first), np.int64), counts]))
-        yield rows(pa.array([], pa.int64()), [], [], *frequent.flush())
+            yield rows(batch.column(0), batch.column(2), [len(s) for s in sets], sids, np.concatenate([first, keys]), np.concatenate([np.ones(len(first), np.int64), counts]))
+        yield rows(pa.array([], pa.int64()), pa.array([], pa.int64()), [], [], *frequent.flush())
 
-    return docs.mapInArrow(slim(profile), "kind int, doc_id long, n long, sid long")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    return keyed.mapInArrow(slim(profile), "kind int, doc_id long, text_key long, n long, sid long")
 
 
 def _entries(docs: DataFrame, similarity: Similarity, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -243,12 +245,19 @@ def classes(docs: DataFrame, similarity: Similarity = Similarity(), id_col: str
     id never names a component, and an empty-text row of null id has a null
     one.  An empty table gives no rows; other columns are not read.
     """
+    rooted = _rooted(docs, similarity, id_col, text_col)
+    least_id = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rooted.join(least_id, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _rooted(docs: DataFrame, similarity: Similarity, id_col: str, text_col: str) -> DataFrame:
+    """One row (doc_id, text_key, n_shingles, root) for each row of ``docs``: the text's hash and its component, null for an empty set."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     profile = materialise(_profile(docs, similarity), "jaccard-profile")
-    members = profile.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "sid")
+    members = profile.where("kind = 0").select("doc_id", "text_key", F.col("n").alias("n_shingles"), "sid")
     owners = members.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
 
     # Shingles that many sets would index go to the end of the order, the heaviest last.
@@ -306,11 +315,9 @@ def classes(docs: DataFrame, similarity: Similarity = Similarity(), id_col: str
     drop_written(known)
 
     rooted = members.join(linked.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "sid").alias("root")
+        "doc_id", "text_key", "n_shingles", F.coalesce("component", "sid").alias("root")
     )
-    rooted = materialise(rooted, "jaccard-rooted")
-    least_id = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(least_id, "root", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return materialise(rooted, "jaccard-rooted")
 
 
 def self_sum(similarity: Similarity) -> int:
@@ -318,16 +325,30 @@ def self_sum(similarity: Similarity) -> int:
 
 
 def keep_one(docs: DataFrame, similarity: Similarity, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that stand for their class: those of its least id.
+    """The rows of ``docs``, all columns as they are, that stand for their class: one row of each.
 
-    Rows that repeat an id are kept once.  Rows of null id stay only where
-    nothing links them to a row with an id.
+    It is a row of the class's least id, and one of null id only where no
+    member has an id.  Rows are told apart by id and text: texts of one id that
+    nothing links stay each.  Empty texts link with nothing and stay, but rows that repeat an id and
+    an empty text are kept once if the id is not null.
     """
-    found = materialise(classes(docs, similarity, id_col, text_col), "jaccard-classes")
-    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped")).distinct()
-    dropped = materialise(dropped, "jaccard-dropped")
-    kept = docs.join(_hinted(dropped), F.col(id_col) == F.col("dropped"), "left_anti")
-    if found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count():
-        named = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-        kept = named.unionByName(kept.where(F.col(id_col).isNull()))
+    rooted = _rooted(docs, similarity, id_col, text_col)
+    # Ids before null, the least first.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key"))
+    stands = rooted.where("root is not null").groupBy("root").agg(first.alias("first")).select("root", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_text"))
+    linked = rooted.where("root is not null").groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_text"))
+    keys = linked.join(stands, "root").select("doc_id", "text_key", is_first.alias("stands"), "n")
+    empty = rooted.where("root is null and doc_id is not null").groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
+    keys = keys.unionByName(empty.select("doc_id", "text_key", F.lit(True).alias("stands"), "n"))
+    keys = keys.where("not stands or n > 1").select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text"), "stands")
+    keys = materialise(keys, "jaccard-dropped")
+
+    text_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    own = F.col(id_col).cast("long").eqNullSafe(F.col("of_doc")) & (text_key == F.col("of_text"))
+    kept = docs.join(_hinted(keys.drop("stands")), own, "left_anti")
+    repeated = keys.where("stands").drop("stands")
+    if repeated.limit(1).count():
+        once = docs.join(_hinted(repeated), own).dropDuplicates(["of_doc", "of_text"]).select(docs.columns)
+        kept = kept.unionByName(once)
     return kept

@@ -67,6 +67,15 @@ def test_keep_one(spark):
     assert sorted(i for i in got if i is not None) == sorted(roots)
 
 
+def test_keep_one_decides_by_row(spark):
+    a, b, c = "one two three four five", "six seven eight nine ten", "eleven twelve thirteen fourteen"
+    rows = [(None, a), (None, a.upper()), (5, a), (None, b), (None, b), (7, c), (7, a), (9, c.upper()), (9, "by itself"), (9, "by itself"), (8, ""), (8, ""), (8, " "), (None, ""), (None, None)]
+    df = spark.createDataFrame([(i, t, 1, 2, "x") for i, t in rows], SCHEMA).repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in keep_one(df, Similarity()).collect()]
+    want = [(5, a), (None, b), (7, c), (9, "by itself"), (8, ""), (8, " "), (None, ""), (None, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert classes(df).count() == 0 and keep_one(df, Similarity()).count() == 0
