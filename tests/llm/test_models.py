@@ -122,6 +122,13 @@ def test_resample(spark):
     assert poor > 1.5 * plain
 
 
+def test_letters_are_counted_over_the_whole_text():
+    r = random.Random(4)
+    texts = ["a1" * 4000, "", "é½²_Ω\ud800x" * 900, "".join(chr(r.randrange(0x3000)) for _ in range(6000)), "ab \n" * 1500 + "1" * 5000]
+    for t in texts:
+        assert abs(mixing.shape(t)[3] - sum(map(str.isalpha, t)) / (len(t) or 1)) < 1e-12
+
+
 def test_copies_keep_the_mean():
     rates = np.full(20_000, 1.37)
     n = mixing.copies(rates, list(range(20_000)))
