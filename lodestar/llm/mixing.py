@@ -3,10 +3,15 @@
 A classifier fitted on the labelled rows gives each document a posterior over
 the domains.  Rates r >= least_rate, as near to 1 as can be in the
 token-weighted least-squares sense, are fitted so that the expected tokens
-sum(r * tokens * posterior) of each domain match its target.  Each step of the
-projected gradient has the form r = max(least_rate, 1 - posterior . m): its
-whole state is the vector m with an entry for each domain, so a step is one
-distributed aggregation and the driver holds nothing that grows with the rows.
+sum(r * tokens * posterior) of each domain match its target.  Where no rates
+match, the squared miss of the targets is least, up to a small weight of the
+rates' distance from 1.
+
+This is not the projected gradient on the rates, whose clipped iterates need
+all former steps or a table of rates.  The optimum of that problem has the form
+r = max(least_rate, 1 - posterior . m), with an entry of m for each domain, and
+Newton steps on m look for it: one distributed aggregation each, or three where
+a step is cut, and the driver holds nothing that grows with the rows.
 """
 
 from __future__ import annotations
@@ -207,7 +212,10 @@ def fit_rates(
 
     Domains with a weight share the total, by default the tokens at hand; with
     ``grow`` the least total for which no domain has to shrink.  A domain
-    without a weight is left to itself.  A step that overshoots along its own
+    without a weight is left to itself.
+
+    The rates have the least sum of the squared miss, as a share of the tokens, and NEAR_ONE times
+    their token-weighted mean squared distance from 1; m is then the miss / NEAR_ONE.  A step that overshoots along its own
     direction is cut to the largest part that does not, so each step brings the fit nearer.
     """
     used = [d for d in DOMAINS if weights.get(d)]
@@ -283,6 +291,8 @@ def resample(docs: DataFrame, labels: DataFrame, weights: dict[str, float], leas
             _, p = of([t or "" for t in batch.column(at_text).to_pylist()])
             r = np.maximum(least_rate, 1.0 - p @ m)
             n = copies(r, batch.column(at_id).to_pylist())
-            yield batch.take(pa.array(np.repeat(np.arange(batch.num_rows), n)))
+            at = np.repeat(np.arange(batch.num_rows), n)
+            for i in range(0, len(at), 1_000):  # a row can have many copies
+                yield batch.take(pa.array(at[i : i + 1_000]))
 
     return docs.mapInArrow(slim(run), docs.schema)

@@ -110,6 +110,30 @@ def test_growing_rates_match_targets(spark):
     assert np.abs(got / goal - 1).max() < 0.02
 
 
+def test_unreachable_targets_are_fitted_by_least_squares(spark):
+    """No rates reach these targets; projected gradient on the rates themselves, run long, misses them no less."""
+    rng = np.random.default_rng(12)
+    tokens = rng.integers(1, 500, 1000)
+    p = rng.beta(4, 4, 1000)
+    p = np.column_stack([p, 1 - p])
+    for least, grow in ((1.0, True), (0.0, False)):
+        m = mixing.fit_rates(softly(spark, p, tokens), {"plain": 0.97, "poor": 0.03}, least_rate=least, grow=grow)
+        now, total = tokens @ p, tokens.sum()
+        goal = np.array([0.97, 0.03]) * (max(now / [0.97, 0.03]) if grow else total)
+
+        def missed(r):
+            return (r * tokens) @ p / total - goal / total
+
+        def loss(r):
+            return (missed(r) ** 2).sum() + mixing.NEAR_ONE * (tokens * (r - 1) ** 2).sum() / total
+
+        r = np.ones(1000)
+        for _ in range(20_000):  # the gradient in the tokens' metric
+            r = np.maximum(least, r - 0.9 * (p @ missed(r) + mixing.NEAR_ONE * (r - 1)))
+        mine = np.maximum(least, 1 - p @ m[:2])
+        assert np.abs(missed(mine)).max() > 1e-3 and loss(mine) <= loss(r) * 1.001
+
+
 def test_resample(spark):
     rows, labels = corpus(900)
     docs, marks = frames(spark, rows + [(None, None, 1, 1.0), rows[0]], labels)
