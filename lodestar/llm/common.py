@@ -10,19 +10,22 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
+    """The folder that driver and executors share, which the cluster names in ``spark.checkpoint.dir``.
 
-    It is what the cluster names in ``spark.checkpoint.dir``.  Only where that
-    is unset (tests, one machine) a folder of our own takes its place.
+    Where that is unset it is a folder in the warehouse, which machines share
+    too; on a local master, with all in one process, a temporary one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="lodestar-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        return f"file://{tempfile.gettempdir()}/lodestar-{context.applicationId}"
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
@@ -49,6 +52,48 @@ def drop_written(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: A table is broadcast up to so many bytes; beyond that it is joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+def hinted(df: DataFrame, size: int) -> DataFrame:
+    """The small side of a join by its size in bytes: broadcast up to BROADCAST_BYTES, else hashed after a shuffle."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df.hint("shuffle_hash")
+
+
+def size_of(df: DataFrame) -> int:
+    """Bytes that the rows of a table take in memory: eight for each number, and strings and lists by their lengths."""
+
+    def width(column, kind) -> object:
+        if isinstance(kind, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(column), F.lit(0)).cast("long") + 16
+        if isinstance(kind, StructType):
+            return sum((width(column[f.name], f.dataType) for f in kind.fields), F.lit(16).cast("long"))
+        if isinstance(kind, ArrayType):
+            return F.coalesce(F.aggregate(column, F.lit(16).cast("long"), lambda n, x: n + width(x, kind.elementType)), F.lit(0).cast("long"))
+        return F.lit(8).cast("long")
+
+    return df.select(F.sum(sum((width(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(16).cast("long")))).first()[0] or 0
+
+
+#: Keys that are joined apart from the others because they hold many rows: at most so many, so their table can be broadcast.
+HOT_KEYS = 4096
+
+
+def join_counted(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """The inner join of ``left`` with ``right``, which has one row for each key and in column ``n`` the key's rows in ``left``.
+
+    Keys of more than ``total`` / HOT_KEYS rows, HOT_KEYS of them at most, are
+    joined by a broadcast, so no task gets a hot key's rows; only the others
+    are shuffled.  Column ``n`` is dropped.  Both tables are read twice, so
+    they had better be written ones.
+    """
+    least = max(1, total // HOT_KEYS)
+    hot = F.broadcast(right.where(F.col(n) > least).drop(n))
+    cold = right.where(F.col(n) <= least).drop(n)
+    return left.join(hot, key).unionByName(left.join(hot, key, "left_anti").join(cold, key))
+
+
 def text_of(column: str = "text"):
     """A text column with null read as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
