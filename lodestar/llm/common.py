@@ -76,24 +76,36 @@ def size_of(df: DataFrame) -> int:
     return df.select(F.sum(sum((width(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(16).cast("long")))).first()[0] or 0
 
 
-#: Keys that are joined apart from the others because they hold many rows: at most so many, so their table can be broadcast.
+#: Keys that hold HOT_ROWS rows or more are joined apart from the others, HOT_KEYS keys at most, so their table can be broadcast.
 HOT_KEYS = 4096
+HOT_ROWS = 1000
 
 
 def join_counted(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> DataFrame:
     """The inner join of ``left`` with ``right``, which has one row for each key and in column ``n`` the key's rows in ``left``.
 
-    Keys of more than ``total`` / HOT_KEYS rows, HOT_KEYS of them at most, are
-    joined by a broadcast, so no task gets a hot key's rows; only the others
-    are shuffled.  Column ``n`` is dropped.  Both tables are read twice, so
-    they had better be written ones.
+    Keys of more than HOT_ROWS and ``total`` / HOT_KEYS rows are joined by a
+    broadcast, so no task gets a hot key's rows; only the others are shuffled.
+    Column ``n`` is dropped.  Both tables are read twice, so they had better be
+    written ones.
     """
-    least = max(1, total // HOT_KEYS)
+    least = max(HOT_ROWS, total // HOT_KEYS)
     hot = F.broadcast(right.where(F.col(n) > least).drop(n))
     cold = right.where(F.col(n) <= least).drop(n)
     return left.join(hot, key).unionByName(left.join(hot, key, "left_anti").join(cold, key))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until it differs from all columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_of(column: str = "text"):
     """A text column with null read as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import drop_written, materialise
+from lodestar.llm.common import drop_written, join_counted, materialise
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -13,13 +13,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Alternates large-star and small-star steps until the edges are stars, which
     takes a number of rounds that grows with the logarithm of a component's
-    size.  Each round is a minimum per node and a join, so a hub is never
-    gathered in one task, and is written to the shared folder.  Loops and
-    repeated edges do no harm; edges with a null end are left out.
+    size.  Each round is a minimum per node and a join with the minima in which
+    hubs are joined by a broadcast, so no task gathers a hub's edges; its result
+    is written to the shared folder.  Loops and repeated edges do no harm; edges
+    with a null end are left out.
     """
 
-    def minima(df: DataFrame) -> DataFrame:
-        return df.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    def with_minima(df: DataFrame) -> DataFrame:
+        least = df.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        return join_counted(df, least, "u", "n", rows)
 
     pairs = (
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -27,10 +29,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         .distinct()
     )
     current, before = materialise(pairs, "edges"), None
+    rows = 2 * current.count()
     while True:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(minima(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = large.join(minima(large), "u")
+        large = with_minima(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = materialise(large, "edges")
+        small = with_minima(large)
         small = (
             small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
             .unionByName(small.select("u", F.col("m").alias("v")))
@@ -38,6 +42,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         )
         after = materialise(small, "edges")
         drop_written(current)
+        drop_written(large)
         current = after
         state = tuple(current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:

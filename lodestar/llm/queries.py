@@ -76,7 +76,7 @@ def queries() -> dict:
     }
 
 
-#: Sets of 4-word shingles, links at 85 in 100, and the least document reachable.
+#: Sets of 4-word shingles, links at 85 in 100, their number, and the least document reachable.
 OP1_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS h FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM w WHERE len(w) > 0)),
@@ -85,7 +85,8 @@ p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b
 l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 85 * (a.n + b.n - shared)),
 e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
-SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x) c USING (doc_id)"""
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, coalesce(k.n, 0)::BIGINT AS n_links FROM documents d LEFT JOIN n USING (doc_id)
+  JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x) c USING (doc_id) LEFT JOIN (SELECT x AS doc_id, count(*) AS n FROM e GROUP BY x) k USING (doc_id)"""
 
 #: Every window that holds a shingle of an item, scored in full.
 OP4_SQL = r"""WITH dw AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),

@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import pytest
 
 from lodestar.llm.components import connected_components
 from lodestar.llm.ngram_jaccard import Similarity, classes, keep_one
 
-SCHEMA = "doc_id long, text string, n long, token long, a string"
+SCHEMA = "doc_id long, text string, n long, token long, of_doc string"
 
 
 def shingles(text, k):
@@ -21,7 +22,7 @@ def shingles(text, k):
 
 def brute(rows, s: Similarity):
     sets = [(i, shingles(t, s.words)) for i, t in rows]
-    root = {i: i for i, _ in sets}
+    root, links = {i: i for i, _ in sets}, Counter()
 
     def find(x):
         while root[x] != x:
@@ -33,7 +34,8 @@ def brute(rows, s: Similarity):
             if a and b and s.den * len(a & b) >= s.num * len(a | b):
                 p, q = sorted((find(i), find(j)))
                 root[q] = p
-    return sorted((i, len(a), find(i)) for i, a in sets)
+                links.update((i, j))
+    return sorted((i, len(a), find(i), links[i]) for i, a in sets)
 
 
 def corpus(seed, n):
@@ -56,13 +58,49 @@ def test_classes_equal_brute_force(spark, similarity, seed):
     assert sorted(map(tuple, classes(df, similarity).collect())) == brute(rows, similarity)
 
 
+def test_homes_in_blocks(spark, monkeypatch):
+    """One large group of near copies among strangers that share its opening, with small blocks: links are counted all the same."""
+    from lodestar.llm import ngram_jaccard
+
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 7)
+    monkeypatch.setattr(ngram_jaccard, "HUB_MEMBERS", 5)
+    monkeypatch.setattr(ngram_jaccard, "LIST_ENTRIES", 8)
+    monkeypatch.setattr("lodestar.llm.common.HOT_ROWS", 3)
+    r = random.Random(7)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(120):
+        b = list(base)
+        for _ in range(r.choice([0, 1, 2, 3, 4, 5])):
+            b[r.randrange(len(b))] = f"x{r.randrange(40)}"
+        rows.append((i, " ".join(b)))
+    rows += [(200 + i, " ".join(base[:60] + [f"s{i}.{k}" for k in range(r.choice([5, 9, 60]))])) for i in range(30)]
+    df = spark.createDataFrame([(i, t, 1, 2, "x") for i, t in rows], SCHEMA).repartition(3)
+    want = brute(rows, Similarity())
+    assert len({c for _, _, c, _ in want}) > 5 and max(n for *_, n in want) < 140
+    assert sorted(map(tuple, classes(df, Similarity()).collect())) == want
+    kept = sorted(x["doc_id"] for x in keep_one(df, Similarity()).collect())
+    assert kept == sorted({c for _, _, c, _ in want})
+
+
+def test_long_text(spark):
+    r = random.Random(8)
+    words = [f"w{r.randrange(10**6)}" for _ in range(120_000)]
+    other = list(words)
+    for i in range(0, len(other), 200):
+        other[i] = "changed"
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[:1000]))]
+    df = spark.createDataFrame([(i, t, 1, 2, "x") for i, t in rows], SCHEMA)
+    assert sorted(map(tuple, classes(df).collect())) == brute(rows, Similarity())
+
+
 def test_keep_one(spark):
     rows = corpus(4, 80)
     rows += rows[10:12]
     df = spark.createDataFrame([(i, t, 1, 2, "x") for i, t in rows] + [(None, "one two", 1, 2, "x"), (None, "quite alone", 1, 2, "y")], SCHEMA)
     kept = keep_one(df, Similarity())
     assert kept.schema == df.schema
-    roots = {c for _, _, c in brute(rows[:80], Similarity())}
+    roots = {c for _, _, c, _ in brute(rows[:80], Similarity())}
     got = [r["doc_id"] for r in kept.collect()]
     assert sorted(i for i in got if i is not None) == sorted(roots)
 

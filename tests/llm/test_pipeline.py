@@ -53,7 +53,7 @@ def test_run_equals_brute_force(spark, sf):
     features, model = toxicity.Features(), toxicity.train(docs, labels)
     dense = model.dense()
     rows = [(i, t) for i, t in rows if model.score(features(t or ""), dense) < cp.TOXIC]
-    root = {i: c for i, _, c in near_classes(rows, cp.NEAR)}
+    root = {i: c for i, _, c, _ in near_classes(rows, cp.NEAR)}
     rows = [(i, t) for i, t in rows if root[i] == i]
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
     leaking = {x[0] for x in leaks(rows, items)}
