@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from lodestar.llm.common import HOT_KEYS, HOT_ROWS, drop_written, fresh, hinted, join_counted, materialise, shuffle_partitions, slim, small_batches
 from lodestar.llm.components import connected_components
 
-#: Entries of a worker's memo of word hashes; it is emptied beyond that, so memory stays bounded.
-MEMO_WORDS = 60_000
+#: Bytes of text that are hashed at once; a longer text is hashed alone.
+CHUNK = 1 << 20
 
 #: Shingles in the order's table of heavy ones, each of HEAVY_SETS sets or more.  Any table gives the same links; its size bounds the broadcast.
 HEAVY = 300_000
@@ -69,36 +69,88 @@ class Similarity:
         return self.den * shared >= self.num * (a + b - shared)
 
 
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+_BYTES = np.array([xxhash.xxh3_64_intdigest(bytes([b]), 11) for b in range(256)], np.uint64)
+
+
 class Shingler:
-    """Sorted distinct 64-bit hashes of a text's word shingles."""
+    """Sorted distinct 64-bit hashes of the word shingles of each text, all bytes of a chunk of texts at once."""
 
     def __init__(self, words: int):
         self.words = words
-        self.memo: dict[bytes, int] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and the six white-space bytes only
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        for w in set(words).difference(memo):
-            memo[w] = xxhash.xxh3_64_intdigest(w)
-        n = len(words)
-        h = np.fromiter(map(memo.__getitem__, words), np.uint64, n)
-        k = min(self.words, n)
-        if not k:
-            return h
+        self.powers = np.ones(1, np.uint64)
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        out, part, size = [], [], 0
+        for t in texts.cast(pa.large_binary()).to_pylist():
+            if part and size + len(t) > CHUNK:
+                out += self._hashed(part)
+                part, size = [], 0
+            part.append(t)
+            size += len(t)
+        return out + self._hashed(part) if part else out
+
+    def _words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, hash) of each word: the sum of its bytes' numbers, each by a power of an odd constant for its place."""
+        white = _WHITE[data]
+        begins = ~white
+        begins[1:] &= white[:-1]
+        starts = np.flatnonzero(begins)
+        if not len(starts):
+            return starts, np.zeros(0, np.uint64)
+        place = np.arange(len(data)) - np.repeat(starts, np.diff(starts, append=len(data))) if starts[0] == 0 else None
+        if place is None:
+            return self._shifted(data, int(starts[0]))
+        place[white] = 0
+        most = int(place.max()) + 1
+        if len(self.powers) < most:
+            self.powers = np.full(1 << most.bit_length(), 0x9E3779B97F4A7C15, np.uint64)
+            self.powers[0] = 1
+            self.powers = np.cumprod(self.powers)
+        numbers = _BYTES[data] * self.powers[place]
+        numbers[white] = 0
+        h = np.add.reduceat(numbers, starts)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(29)
+        return starts, h
+
+    def _shifted(self, data: np.ndarray, by: int) -> tuple[np.ndarray, np.ndarray]:
+        starts, h = self._words(data[by:])
+        return starts + by, h
+
+    def _hashed(self, texts: list[bytes]) -> list[np.ndarray]:
+        starts, h = self._words(np.frombuffer(b" ".join(texts).lower(), np.uint8))  # bytes: A-Z only
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        bounds = np.searchsorted(starts, ends).tolist()
+        k = self.words
+        runs = self._mixed(h, k) if len(h) >= k else h
+        out, at = [], 0
+        for end in bounds:
+            n = end - at
+            if n >= k:
+                s = np.sort(runs[at : end - k + 1])
+                out.append(s[np.append(True, s[1:] != s[:-1])])
+            elif n:
+                out.append(self._mixed(h[at:end], n) + np.uint64(n))
+            else:
+                out.append(h[:0])
+            at = end
+        return out
+
+    @staticmethod
+    def _mixed(h: np.ndarray, k: int) -> np.ndarray:
+        """A hash of each ``k`` neighbours."""
+        n = len(h)
         out = h[: n - k + 1].copy()
-        with np.errstate(over="ignore"):
-            for i in range(1, k):
-                out ^= out >> np.uint64(29)
-                out = out * np.uint64(0x9E3779B97F4A7C15) + h[i : n - k + 1 + i]
-            out ^= out >> np.uint64(32)
-            out *= np.uint64(0xD6E8FEB86659FD93)
+        for i in range(1, k):
             out ^= out >> np.uint64(29)
-            if n < self.words:
-                out += np.uint64(n)
-        return np.unique(out)
+            out = out * np.uint64(0x9E3779B97F4A7C15) + h[i : n - k + 1 + i]
+        out ^= out >> np.uint64(32)
+        out *= np.uint64(0xD6E8FEB86659FD93)
+        out ^= out >> np.uint64(29)
+        return out
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -148,7 +200,7 @@ def _profile(docs: DataFrame, similarity: Similarity) -> DataFrame:
             )
 
         for batch in batches:
-            sets = [shingler(t) for t in batch.column(1).to_pylist()]
+            sets = shingler(batch.column(1))
             sids = [set_id(s) if len(s) else None for s in sets]
             once = list({i: s for i, s in zip(sids, sets, strict=True) if i is not None}.values())
             first = np.concatenate([np.zeros(0, np.uint64), *(s[: similarity.prefix(len(s))] for s in once)]).view(np.int64)
@@ -168,24 +220,20 @@ def _entries(docs: DataFrame, similarity: Similarity, heavy: tuple[np.ndarray, n
         shingler = Shingler(similarity.words)
         keys, counts = spread.value
         for batch in batches:
-            seen, columns = set(), ([], [], [], [])
-            for t in batch.column(1).to_pylist():
-                s = shingler(t)
-                n = len(s)
-                sid = set_id(s)
-                if not n or sid in seen:
-                    continue
-                seen.add(sid)
-                weight = np.zeros(n, np.int64)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
-                    weight = np.where(keys[at] == s, counts[at], 0)
-                p = similarity.prefix(n)
-                first = np.lexsort((s, weight))[:p]
-                for c, v in zip(columns, (s[first].view(np.int64), np.full(p, sid, np.int64), np.full(p, n, np.int32), np.arange(p, dtype=np.int32)), strict=True):
-                    c.append(v)
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["token", "sid", "n", "pos"])
+            sets = {set_id(s): s for s in shingler(batch.column(1)) if len(s)}
+            if not sets:
+                continue
+            flat, sizes = np.concatenate(list(sets.values())), np.array([len(s) for s in sets.values()])
+            weight = np.zeros(len(flat), np.int64)
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, flat), len(keys) - 1)
+                weight = np.where(keys[at] == flat, counts[at], 0)
+            order = np.lexsort((flat, weight, np.repeat(np.arange(len(sizes)), sizes)))  # set by set
+            prefix = np.array([similarity.prefix(n) for n in sizes.tolist()])
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            first = place < np.repeat(prefix, sizes)
+            columns = (flat[order[first]].view(np.int64), np.repeat(np.array(list(sets), np.int64), prefix), np.repeat(sizes, prefix).astype(np.int32), place[first].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "sid", "n", "pos"])
 
     return docs.mapInArrow(slim(entries), "token long, sid long, n int, pos int")
 
@@ -227,8 +275,8 @@ def _overlaps(pairs: DataFrame, docs: DataFrame, owners: DataFrame, similarity:
         shingler, hub, hub_id, most, least = Shingler(words), None, None, 0, 0
         for batch in batches:
             out, parts = [], {c: [] for c in sides}
-            for h, sid, role, text, *bound in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                s = shingler(text)
+            others = [c.to_pylist() for i, c in enumerate(batch.columns) if i != 3]
+            for s, h, sid, role, *bound in zip(shingler(batch.column(3)), *others, strict=True):
                 if role == 0:
                     hub, hub_id = s, h
                     most, least = bound or (0, 0)
