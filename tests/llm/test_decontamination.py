@@ -6,9 +6,9 @@ from collections import Counter
 
 import pytest
 
-from lodestar.llm.decontamination import bit_blocks, contaminated, keep_uncontaminated
+from lodestar.llm.decontamination import contaminated, flips, keep_uncontaminated
 
-DOCS = "doc_id long, text string, item_id long, n int"
+DOCS = "doc_id long, text string, item_id long, of_doc int"
 ITEMS = "item_id long, text string, doc_id long"
 
 
@@ -89,7 +89,55 @@ def test_empty(spark):
     assert contaminated(d, b).count() == 1
 
 
-def test_blocks_cover_all_bits():
-    for radius in (0, 3, 15, 23, 63):
-        blocks = bit_blocks(radius)
-        assert len(blocks) == radius + 1 and sum(n for _, n in blocks) == 64 and min(n for _, n in blocks) >= 1
+def test_multi_index_meets_all_within_the_radius():
+    r = random.Random(3)
+    masks = set(flips(15))
+    assert len(masks) == 1 + 16 + 120 + 560
+    for _ in range(2000):
+        a = r.getrandbits(64)
+        b = a
+        for bit in r.sample(range(64), r.randrange(16)):
+            b ^= 1 << bit
+        assert any(((a ^ b) >> 16 * i) & 0xFFFF in masks for i in range(4))
+
+
+def test_recall_and_candidates(spark, monkeypatch):
+    """Near copies just above the similarity, edits scattered or side by side: found as brute force finds them, and few others are met."""
+    from lodestar.llm import decontamination
+
+    r = random.Random(9)
+    words = [f"v{i}" for i in range(3000)]
+    items, docs = [], []
+    for i in range(60):
+        n = r.choice([25, 60, 120, 300])
+        item = [r.choice(words) for _ in range(n)]
+        lost = int((n - 4) / 9)
+        copy = list(item)
+        if r.random() < 0.5 and lost > 5:
+            at = r.randrange(5, n - lost)
+            copy[at : at + lost - 4] = [r.choice(words) for _ in range(lost - 4)]
+        else:
+            for at in r.sample(range(n), max(1, lost // 5)):
+                copy[at] = r.choice(words)
+        items.append((i, " ".join(item)))
+        docs.append((i, " ".join([r.choice(words) for _ in range(20)] + copy + [r.choice(words) for _ in range(30)])))
+    want = brute(docs, items)
+    assert len(want) > 40
+    met = []
+    written = decontamination.materialise
+    monkeypatch.setattr(decontamination, "materialise", lambda df, tag: met.append((tag, written(df, tag))) or met[-1][1])
+    monkeypatch.setattr(decontamination, "drop_written", lambda df: None)
+    got = contaminated(spark.createDataFrame([(*d, 1, 2) for d in docs], DOCS), spark.createDataFrame([(*i, 1) for i in items], ITEMS)).collect()
+    assert len({(x["doc_id"], x["item_id"]) for x in got} & {w[:2] for w in want}) >= 0.99 * len(want)
+    assert {tuple(x) for x in got} <= set(want)
+    tables = dict(met)
+    assert tables["near"].count() <= 1.1 * len(want) + 5
+
+
+def test_long_and_repeated_texts(spark):
+    item = "one two three four five six seven eight nine ten"
+    long = " ".join(f"x{i}" for i in range(150_000)) + " " + item
+    rows = [(1, long, 1, 2), (2, item + ".", 1, 2), (2, item + ".", 1, 2), (None, item, 1, 2)]
+    d = spark.createDataFrame(rows, DOCS)
+    b = spark.createDataFrame([(7, item, 1)], ITEMS)
+    assert sorted(map(tuple, contaminated(d, b).collect()), key=str) == sorted([(1, 7, 1.0, 150_000), (2, 7, 1.0, 0), (None, 7, 1.0, 0)], key=str)
