@@ -1,22 +1,23 @@
 """Soft-membership mixing: document rates whose expected domain tokens match target weights.
 
 A classifier fitted on the labelled rows gives each document a posterior over
-the domains.  Rates r >= least_rate, as near to 1 as can be in the
-token-weighted least-squares sense, are fitted so that the expected tokens
-sum(r * tokens * posterior) of each domain match its target.  Where no rates
-match, the squared miss of the targets is least, up to a small weight of the
-rates' distance from 1.
-
-This is not the projected gradient on the rates, whose clipped iterates need
-all former steps or a table of rates.  The optimum of that problem has the form
-r = max(least_rate, 1 - posterior . m), with an entry of m for each domain, and
-Newton steps on m look for it: one distributed aggregation each, or three where
-a step is cut, and the driver holds nothing that grows with the rows.
+the domains.  Rates between least_rate and most_rate are fitted by projected
+gradient descent on the squared miss of the domains' expected tokens
+
+    sum over domains of (sum(rate * tokens * posterior) - target) ** 2
+
+from the rate 1 on.  In the tokens' metric the gradient of a rate is posterior .
+miss, so a step is one number for each domain, and a row's rate is the fold of
+the steps so far, each clipped to the bounds, over its posterior.  Each step is
+one distributed aggregation, which tries several lengths, each with several
+shares of the step before it, and takes the best; the driver holds the steps,
+and nothing that grows with the rows.
 """
 
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,9 +25,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from lodestar.llm.common import materialise, slim, small_batches
-from lodestar.llm.toxicity import Examples, Features, Model, held_out
+from lodestar.llm.common import fresh, materialise, slim, small_batches
+from lodestar.llm.toxicity import Examples, Features, Model, held_out, labelled_texts
 from lodestar.llm.toxicity import fit as fit_ftrl
 
 #: Domains of a labelled row.
@@ -78,15 +80,28 @@ class Domains:
     weight: np.ndarray  # features x domains
     words: list  # one hashed-word model for each domain
 
-    def posterior(self, text: str, features: np.ndarray, dense: list[np.ndarray]) -> np.ndarray:
-        x = _inputs(text, features, self.words, dense)
-        z = x @ self.weight
-        e = np.exp(z - z.max())
-        return e / e.sum()
+    def posteriors(self, texts: list[str], features: Features, dense: np.ndarray) -> np.ndarray:
+        z = _inputs(texts, features, self.words, dense) @ self.weight
+        e = np.exp(z - z.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
+
+
+def dense_of(models: list[Model]) -> np.ndarray:
+    """The models' weights side by side, so one look-up of a feature finds all."""
+    return np.stack([m.dense() for m in models], axis=1)
 
 
-def _inputs(text, features, models, dense) -> np.ndarray:
-    return np.concatenate([shape(text), [2 * m.score(features, d) - 1 for m, d in zip(models, dense, strict=True)]])
+def _inputs(texts: list[str], features: Features, models: list[Model], dense: np.ndarray) -> np.ndarray:
+    """The shape features of each text and the words' scores, -1 to 1."""
+    used = dense.any(axis=1)
+    z = np.tile([m.bias for m in models], (len(texts), 1))
+    for i, t in enumerate(texts):
+        f = features(t)
+        at = np.unique(f[used[f]])
+        if len(at):
+            z[i] += dense[at].sum(axis=0, dtype=np.float64)
+    words = 2 / (1 + np.exp(-np.clip(z, -35, 35))) - 1
+    return np.concatenate([np.array([shape(t) for t in texts] or np.zeros((0, len(shape(""))))), words], axis=1)
 
 
 def _softmax(x: np.ndarray, y: np.ndarray, k: int, steps: int = 400, rate: float = 0.5, l2: float = 1e-4) -> np.ndarray:
@@ -105,7 +120,8 @@ def _softmax(x: np.ndarray, y: np.ndarray, k: int, steps: int = 400, rate: float
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4_000, id_col: str = "doc_id", text_col: str = "text") -> Domains | None:
     """Fit on at most ``sample_rows`` labelled rows that are not held out, chosen by a hash of the id; None without any.
 
-    The words' models learn from one half of the sample and the softmax from the other.
+    Of an id that several rows have, the text of least hash counts.  The words' models learn from one half of the sample and
+    the softmax from the other.
     """
     chosen = (
         labels.select(F.col("doc_id").alias("labelled"), domain_of(F.col("quality"), F.col("toxic")).alias("domain"))
@@ -115,11 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4_000, id_col:
         .orderBy(F.xxhash64("labelled"), "labelled")
         .limit(sample_rows)
     )
-    sample = (
-        docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        .join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
-        .select("doc_id", "text", "domain")
-    )
+    sample = labelled_texts(docs, chosen, id_col, text_col).select("doc_id", "text", "domain")
 
     def learn(batches):
         features = Features()
@@ -132,9 +144,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4_000, id_col:
             models = [
                 fit_ftrl(words.arrange(list(range(len(words))), [int(y == k) for y in words.labels]), positive_weight=1.0) for k in range(len(DOMAINS))
             ]
-            dense = [m.dense() for m in models]
             rest = rows[1::2] or rows
-            x = np.array([_inputs(t, features(t), models, dense) for _, t, _ in rest])
+            x = _inputs([t for _, t, _ in rest], features, models, dense_of(models))
             w = _softmax(x, np.array([r[2] for r in rest]), len(DOMAINS))
             out = [(-1 - i, k, float(w[i, k])) for i in range(w.shape[0]) for k in range(w.shape[1])]
             for k, m in enumerate(models):
@@ -154,145 +165,172 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4_000, id_col:
     return Domains(softmax, models)
 
 
-def _posteriors(docs: DataFrame, domains: Domains | None):
-    """A function from a list of texts to (tokens, posteriors)."""
+def _scored(docs: DataFrame, domains: Domains | None, text_col: str, keep: list[str], names: list[str]) -> DataFrame:
+    """The columns of ``keep`` of each row with its tokens and the posterior of each domain under ``names``."""
+    small_batches(docs.sparkSession)
     spread = docs.sparkSession.sparkContext.broadcast(domains)
+    kept = docs.select(*keep, F.col(text_col).alias(names[0]))  # the text goes in under the first name
 
-    def start():
+    def run(batches):
         model, features = spread.value, Features()
-        dense = [m.dense() for m in model.words] if model else None
-
-        def of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            tokens = np.array([len(t.split()) for t in texts], np.int64)
-            if model is None:
-                return tokens, np.full((len(texts), len(DOMAINS)), 1.0 / len(DOMAINS))
-            return tokens, np.array([model.posterior(t, features(t), dense) for t in texts]).reshape(len(texts), len(DOMAINS))
-
-        return of
+        dense = dense_of(model.words) if model else None
+        for batch in batches:
+            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
+            p = np.full((len(texts), len(DOMAINS)), 1.0 / len(DOMAINS)) if model is None else model.posteriors(texts, features, dense)
+            new = [pa.array([len(t.split()) for t in texts], pa.int64()), *(pa.array(p[:, k]) for k in range(len(DOMAINS)))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names=[*keep, *names])
 
-    return start
+    schema = StructType([*kept.schema.fields[:-1], StructField(names[0], LongType()), *(StructField(n, DoubleType()) for n in names[1:])])
+    return kept.mapInArrow(slim(run), schema)
 
 
 def posteriors(docs: DataFrame, domains: Domains | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, posterior of each domain) of each row; tokens are white-space words."""
-    small_batches(docs.sparkSession)
-    start = _posteriors(docs, domains)
-    names = ["doc_id", "n_tokens", *DOMAINS]
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _scored(texts, domains, "text", ["doc_id"], ["n_tokens", *DOMAINS])
+
+
+#: Steps that are tried: lengths as multiples of 1 / the largest curvature, each with so much of the step before it.
+TRIED = tuple((4.0**i, momentum) for i in range(-1, 7) for momentum in (0.0, 0.5, 0.75, 1.0, 1.5, 3.0))
 
-    def run(batches):
-        of = start()
-        for batch in batches:
-            tokens, p = of(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens), *(pa.array(p[:, k]) for k in range(len(DOMAINS)))], names=names)
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.mapInArrow(slim(run), "doc_id long, n_tokens long, " + ", ".join(f"{d} double" for d in DOMAINS))
+@dataclass
+class Rates:
+    """The steps of a fit, a vector over ``columns`` each, and the largest miss of a target that is left, as a share of it."""
+
+    columns: list[str]
+    least: float
+    most: float
+    steps: list[list[float]]
+    miss: float = 0.0
 
+    @property
+    def start(self) -> float:
+        return float(min(max(1.0, self.least), self.most))
 
-def rate(multipliers: np.ndarray, least_rate: float, columns=DOMAINS) -> Column:
-    """The rates' expression.  The multipliers are one array value, so each step of the fit runs the same compiled code."""
-    m = F.array(*[F.lit(float(x)) for x in multipliers])
-    z = F.lit(1.0)
-    for i, d in enumerate(columns):
-        z = z - F.col(d) * F.get(m, F.lit(i))
-    return F.greatest(F.lit(float(least_rate)), z)
+    def _clipped(self, z: Column) -> Column:
+        return F.greatest(F.lit(float(self.least)), F.least(F.lit(float(self.most)), z))
 
+    def _along(self, vector: Column) -> Column:
+        z = F.lit(0.0)
+        for i, c in enumerate(self.columns):
+            z = z + F.col(c) * F.get(vector, F.lit(i))
+        return z
 
-#: Weight of the rates' distance from 1 beside the squared miss of the targets.
-NEAR_ONE = 1e-6
+    def column(self) -> Column:
+        """The rate of a row.  The steps are one array value, so every step of a fit runs the same compiled code."""
+        if not self.steps:
+            return F.lit(self.start)
+        return F.aggregate(F.lit(self.steps), F.lit(self.start), lambda r, step: self._clipped(r - self._along(step)))
 
-#: Parts of a step that are tried where the whole one overshoots.
-PARTS = (0.999, 0.99, 0.9, 0.7, *(0.5**i for i in range(1, 31)))
+    def tried(self) -> list[list[Column]]:
+        """Expressions over ``ahead`` for each step tried and domain: the tokens at the rates that it leads to."""
+        steps = [F.lit(length) * F.col("__along") + F.lit(momentum) * F.col("__before") for length, momentum in TRIED]
+        return [[F.col("__tokens") * self._clipped(F.col("__rate") - z) * F.col(c) for c in self.columns] for z in steps]
+
+    def ahead(self, soft: DataFrame, tokens: str, direction: list[float]) -> DataFrame:
+        before = self._along(F.lit(self.steps[-1])) if self.steps else F.lit(0.0)
+        return soft.select(F.col(tokens).alias("__tokens"), *self.columns, self.column().alias("__rate"), self._along(F.lit(direction)).alias("__along"), before.alias("__before"))
 
 
 def fit_rates(
-    soft: DataFrame, weights: dict[str, float], least_rate: float = 0.0, grow: bool = False, steps: int = 40, tolerance: float = 1e-3
-) -> np.ndarray:
-    """The multipliers m of the rates max(least_rate, 1 - posterior . m).
+    soft: DataFrame,
+    weights: dict[str, float],
+    least_rate: float = 0.0,
+    most_rate: float = float("inf"),
+    grow: bool = False,
+    steps: int = 60,
+    tolerance: float = 1e-3,
+    names: list[str] | None = None,
+) -> Rates:
+    """Projected gradient descent on the squared miss of the targets, as shares of the tokens at hand.
 
     Domains with a weight share the total, by default the tokens at hand; with
     ``grow`` the least total for which no domain has to shrink.  A domain
-    without a weight is left to itself.
+    without a weight is left to itself.  ``names`` are the columns of the tokens
+    and of each domain.
 
-    The rates have the least sum of the squared miss, as a share of the tokens, and NEAR_ONE times
-    their token-weighted mean squared distance from 1; m is then the miss / NEAR_ONE.  A step that overshoots along its own
-    direction is cut to the largest part that does not, so each step brings the fit nearer.
+    It ends when every target is met to ``tolerance``, when the best step mends
+    less than 1 / 2000 of the squared miss, or after ``steps``.  The miss
+    that is left is told, and warned of where it is above a hundredth.
     """
+    names = names or ["n_tokens", *DOMAINS]
     used = [d for d in DOMAINS if weights.get(d)]
     share = np.array([weights[d] for d in used]) / sum(weights[d] for d in used)
-    now = soft.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col(d)), F.lit(0.0)).alias(d) for d in used]).first()
-    now = np.array([float(now[d]) for d in used])
-    total = now.sum()
-    if not total:
-        return np.zeros(len(DOMAINS))
-    goal = share * (max(now / share) if grow else total) / total
-
-    def sums(columns: list[Column]) -> np.ndarray:
-        return np.array([float(x) for x in soft.agg(*[F.sum(c).alias(f"c{i}") for i, c in enumerate(columns)]).first()]) / total
+    rates = Rates([names[1 + DOMAINS.index(d)] for d in used], least_rate, most_rate, [])
+    columns, tokens = [F.col(c) for c in rates.columns], F.col(names[0])
 
-    def at(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What is left to mend at m, and how it changes with m.  Rates that stand just at the least can still grow: they count."""
-        held = F.col("n_tokens") * rate(m, least_rate, used)
-        active = F.when(rate(m, -np.inf, used) >= least_rate, F.col("n_tokens")).otherwise(0)
-        got = sums([held * F.col(d) for d in used] + [active * F.col(a) * F.col(b) for a in used for b in used])
-        return got[: len(used)] - goal - NEAR_ONE * m, got[len(used) :].reshape(len(used), -1) + NEAR_ONE * np.eye(len(used))
+    def sums(df: DataFrame, terms: list[Column]) -> np.ndarray:
+        return np.array([float(x or 0.0) for x in df.agg(*[F.sum(c).alias(f"c{i}") for i, c in enumerate(terms)]).first()])
 
-    m = np.zeros(len(used))
-    left, slope = at(m)
-    for _ in range(steps):
-        if float(np.abs(left / goal).max()) < tolerance:
+    first = sums(soft, [tokens * a for a in columns] + [tokens * a * b for a in columns for b in columns])
+    now, total = first[: len(used)], first[: len(used)].sum()
+    if not total:
+        return rates
+    goal = share * (max(now / share) if grow else total) / total
+    curvature = float(np.linalg.eigvalsh(first[len(used) :].reshape(len(used), -1) / total).max())
+    miss = rates.start * now / total - goal
+    while len(rates.steps) < steps and np.abs(miss / goal).max() >= tolerance:
+        direction = (miss / curvature).tolist()
+        tried = rates.tried()
+        got = sums(rates.ahead(soft, names[0], direction), [c for row in tried for c in row])
+        misses = got.reshape(len(TRIED), -1) / total - goal
+        best = int((misses**2).sum(axis=1).argmin())
+        if (misses[best] ** 2).sum() > 0.9995 * (miss**2).sum():
             break
-        step = np.linalg.solve(slope, left)
-        ahead = at(m + step)
-        if ahead[0] @ step < 0:
-            along = F.lit(1.0) - rate(step, -np.inf, used)
-            z = rate(m, -np.inf, used)
-            got = sums([F.col("n_tokens") * along * F.greatest(F.lit(float(least_rate)), z - along * s) for s in PARTS])
-            over = got - goal @ step - NEAR_ONE * np.array([(m + s * step) @ step for s in PARTS])
-            step = next((s for s, x in zip(PARTS, over, strict=True) if x >= 0), PARTS[-1]) * step
-            ahead = at(m + step)
-        m, (left, slope) = m + step, ahead
-    full = np.zeros(len(DOMAINS))
-    full[[DOMAINS.index(d) for d in used]] = m
-    return full
-
-
-def copies(rates: np.ndarray, keys: list) -> np.ndarray:
-    """Whole numbers of copies whose mean is the rate: the fraction is settled by a hash of the row's key."""
-    u = np.array([(xxhash.xxh3_64_intdigest(str(k), 1) >> 11) / float(1 << 53) for k in keys])
-    return np.floor(rates + u).astype(np.int64)
-
-
-def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], least_rate: float = 0.0, sample_rows: int = 4_000) -> DataFrame:
-    """(doc_id, n_tokens, posterior of each domain, rate) of each row of ``docs``.
-
+        length, momentum = TRIED[best]
+        before = rates.steps[-1] if rates.steps else [0.0] * len(used)
+        rates.steps.append([length * x + momentum * y for x, y in zip(direction, before, strict=True)])
+        miss = misses[best]
+    rates.miss = float(np.abs(miss / goal).max())
+    if rates.miss > 0.01:
+        warnings.warn(f"mixing: a target is missed by {rates.miss:.3f} of it; no step within the bounds comes nearer", stacklevel=2)
+    return rates
+
+
+def mix(
+    docs: DataFrame, labels: DataFrame, weights: dict[str, float], least_rate: float = 0.0, most_rate: float = float("inf"), sample_rows: int = 4_000
+) -> DataFrame:
+    """(doc_id, n_tokens, posterior of each domain, rate, target_miss) of each row of ``docs``.
+
+    ``target_miss`` is the same in all rows: the largest miss of a target that the rates leave, as a share of it.
     Null texts are empty, with 0 tokens and the posterior of an empty text; repeated rows have equal
-    rates; null ids are carried; without labelled rows all posteriors are equal; an empty table gives
-    no rows.  Other columns are not read.
+    rates; null ids are carried; texts of any length are read whole; without labelled rows all
+    posteriors are equal; an empty table gives no rows.  Other columns are not read.
     """
     soft = materialise(posteriors(docs, train(docs, labels, sample_rows)), "posteriors")
-    return soft.withColumn("rate", rate(fit_rates(soft, weights, least_rate), least_rate))
-
-
-def resample(docs: DataFrame, labels: DataFrame, weights: dict[str, float], least_rate: float = 1.0, sample_rows: int = 4_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    rates = fit_rates(soft, weights, least_rate, most_rate)
+    return soft.withColumns({"rate": rates.column(), "target_miss": F.lit(rates.miss)})
+
+
+def resample(
+    docs: DataFrame,
+    labels: DataFrame,
+    weights: dict[str, float],
+    least_rate: float = 1.0,
+    most_rate: float = float("inf"),
+    sample_rows: int = 4_000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """The rows of ``docs``, all columns as they are, each as often as its rate tells.
 
-    With ``least_rate`` 1 no row is lost: the total grows until no domain has to shrink.
+    With ``least_rate`` 1 no row is lost: the total grows until no domain has to
+    shrink, and a row has ``most_rate`` copies at most.  A rate's fraction is
+    settled by a hash of the row's id and text, so its mean is kept.  Null texts
+    count as empty; repeated rows have equal copies; columns of any name may
+    stand beside the two; without labels all rates are alike; an empty table stays empty.
     """
+    names = fresh(docs, "n_tokens", *DOMAINS)
     model = train(docs, labels, sample_rows, id_col, text_col)
-    soft = materialise(posteriors(docs, model, id_col, text_col), "posteriors")
-    m = fit_rates(soft, weights, least_rate, grow=least_rate >= 1)
-    start = _posteriors(docs, model)
-    at_text, at_id = docs.columns.index(text_col), docs.columns.index(id_col)
+    # Each text is scored once: its posterior is written beside it.
+    scored = materialise(_scored(docs, model, text_col, docs.columns, names), "posteriors")
+    rates = fit_rates(scored.select(names), weights, least_rate, most_rate, grow=least_rate >= 1, names=names)
+    (copy,) = fresh(scored, "copy")
+    once = F.explode(F.array_repeat(F.lit(0), copies(rates.column(), F.xxhash64(id_col, text_col)))).alias(copy)
+    return scored.select(*docs.columns, once).drop(copy)
 
-    def run(batches):
-        of = start()
-        for batch in batches:
-            _, p = of([t or "" for t in batch.column(at_text).to_pylist()])
-            r = np.maximum(least_rate, 1.0 - p @ m)
-            n = copies(r, batch.column(at_id).to_pylist())
-            at = np.repeat(np.arange(batch.num_rows), n)
-            for i in range(0, len(at), 1_000):  # a row can have many copies
-                yield batch.take(pa.array(at[i : i + 1_000]))
-
-    return docs.mapInArrow(slim(run), docs.schema)
+
+def copies(rate: Column, key: Column) -> Column:
+    """Whole numbers of copies whose mean is the rate: the fraction is settled by the row's key."""
+    return F.floor(rate + F.pmod(key, F.lit(1 << 52)) / float(1 << 52)).cast("int")

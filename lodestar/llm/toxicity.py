@@ -142,11 +142,20 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
 
 
+def labelled_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text and the columns of ``chosen``) of each id in its column labelled: one row, of several texts that of least hash."""
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    found = texts.join(F.broadcast(chosen.select("labelled")), F.col("doc_id") == F.col("labelled"), "left_semi")
+    one = found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on at most ``sample_rows`` labelled rows that are not held out, chosen by a hash of the id.
 
     Null labels and labels without a document are left out; an id labelled more than once counts
-    once, as toxic if any of its labels is.  Without examples the model has bias 0.
+    once, as toxic if any of its labels is; of an id that several rows have, the text of least hash
+    counts.  So the sample is bounded however often rows repeat.  Without examples the model has bias 0.
     """
     spark = docs.sparkSession
     chosen = (
@@ -156,9 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, id_col:
         .orderBy(F.xxhash64("labelled"), "labelled")
         .limit(sample_rows)
     )
-    sample = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("labelled")
-    )
+    sample = labelled_texts(docs, chosen, id_col, text_col)
 
     def learn(batches):
         features, found, keys = Features(), Examples(), []
@@ -202,14 +209,20 @@ def scores(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str =
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_rows: int = 12_000) -> DataFrame:
     """Train on the labelled rows that are not held out, then score every row of ``docs``.
 
-    Only the text is an input of a score.  Repeated rows score alike; null ids
-    are kept and never held out; an empty table gives no rows; other columns are not read.
+    Only the text is an input of a score.  Null and empty texts score the bias
+    alone; texts of any length are read whole; repeated rows score alike; null
+    ids are kept and never held out; an empty table gives no rows; other columns are not read.
     """
     return scores(docs, train(docs, labels, sample_rows), threshold)
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose score stays below the threshold."""
+    """The rows of ``docs``, all columns as they are, whose score stays below the threshold.
+
+    Null and empty texts score the bias alone; repeated rows stay or go
+    together; ids are not read; columns of any name may stand beside the text;
+    texts of any length are read whole; an empty table stays empty.
+    """
     small_batches(docs.sparkSession)
     spread = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
