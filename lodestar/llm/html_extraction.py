@@ -2,32 +2,33 @@
 
 A page is cut into blocks.  Blocks in navigation, forms, adverts and the like go
 by their markup.  Where a page marks its article, the article's blocks are the
-text: passages that articles share are their own and stay.  Everything outside
-an article joins its host's token stream.  A token's suffixes that agree for
-``run`` tokens form an interval of that stream's suffix array; an interval that
-holds suffixes of two distinct pages is boilerplate.  Pages that mark no
-article lose the tokens that such runs cover and keep their unique runs.
-
-Only the intervals at depth ``run`` matter for what is covered, so they are made
-by grouping suffixes on their first ``run`` tokens, with each page batch merged
-before it travels; no host's stream is gathered in one place.
+text.  Everything outside an article joins its host's token stream, the streams
+of the host's pages being laid end to end.  Suffixes of that stream are sorted;
+neighbours that agree for ``run`` tokens form an interval of the array, and an
+interval that holds suffixes of two distinct pages is boilerplate.  Pages that
+mark no article lose the tokens that such runs cover and keep their unique runs.
+
+A run that covers a token covers it, too, where it is cut to ``run`` tokens, so
+the array is sorted to that depth and no deeper.  It is made in parts, a batch
+of pages each, whose intervals are merged by host and tokens (the tokens
+themselves, not a hash): no host's stream is gathered in one place.
+
+Marked articles are left alone: passages that articles of a host share are
+theirs, and cutting them would spoil most articles (see README).
 """
 
 from __future__ import annotations
 
 import html
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import materialise, slim, small_batches
-
-#: A table of page ids is broadcast up to so many rows; beyond that it is joined by a shuffle.
-BROADCAST_ROWS = 200_000
+from lodestar.llm.common import drop_written, hinted, join_counted, materialise, size_of, slim, small_batches
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -169,18 +170,37 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def grams(tokens: list[str], run: int) -> np.ndarray:
-    """A hash of the first ``run`` tokens of each suffix that has so many."""
-    n = len(tokens) - run + 1
-    return np.array([xxhash.xxh3_64_intdigest("\x00".join(tokens[i : i + run]).encode("utf-8", "surrogatepass")) for i in range(max(0, n))], np.uint64)
-
+def intervals(streams: list[tuple[str, list[str]]], run: int) -> list[tuple[str, list[int]]]:
+    """The intervals at depth ``run`` of the suffix array over (host, tokens) streams: a run's tokens, and the stream of each suffix.
 
-def unique_runs(parts: list[str], repeated: set[int], run: int) -> list[str]:
+    Suffixes of different hosts do not meet; those shorter than ``run`` have no part.
+    """
+    numbers: dict[str, int] = {}
+    words = list(chain.from_iterable(tokens for _, tokens in streams))
+    flat = np.fromiter((numbers.setdefault(t, len(numbers)) for t in words), np.int64, len(words))
+    sizes = np.array([len(tokens) for _, tokens in streams], np.int64)
+    ends = np.cumsum(sizes)
+    of = np.repeat(np.arange(len(streams)), sizes)
+    starts = np.flatnonzero(np.arange(len(flat)) + run <= ends[of]) if len(flat) else np.zeros(0, np.int64)
+    if not len(starts):
+        return []
+    hosts: dict[str, int] = {}
+    host = np.array([hosts.setdefault(h, len(hosts)) for h, _ in streams])
+    keys = [host[of[starts]], *(flat[starts + i] for i in range(run))]
+    order = np.lexsort(keys[::-1])
+    # The common prefix with the suffix before reaches the depth where all keys agree.
+    agrees = np.all([k[order][1:] == k[order][:-1] for k in keys], axis=0)
+    bounds = np.concatenate([[0], np.flatnonzero(~agrees) + 1, [len(order)]]).tolist()
+    starts = starts[order]
+    return [(" ".join(words[starts[a] : starts[a] + run]), of[starts[a:b]].tolist()) for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
+def unique_runs(parts: list[str], repeated: set[str], run: int) -> list[str]:
     """The blocks without the tokens that repeated runs cover."""
     tokens = [t for p in parts for t in p.split()]
     gone = np.zeros(len(tokens), bool)
-    for i, g in enumerate(grams(tokens, run).view(np.int64).tolist()):
-        if g in repeated:
+    for i in range(len(tokens) - run + 1 if repeated else 0):
+        if " ".join(tokens[i : i + run]) in repeated:
             gone[i : i + run] = True
     kept, at = [], 0
     for p in parts:
@@ -209,35 +229,32 @@ def main_text(pages: DataFrame, run: int = 6, page_col: str = "page_id", url_col
 
     def suffixes(batches):
         for batch in batches:
-            seen: dict[tuple[str, int], list[int]] = {}
-            rows = []
+            streams, keys, loose = [], [], []
             for url, page, key in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                host = host_of(url)
                 article, others = read_page(page)
-                for g in set(grams([t for p in others for t in p.split()], run).view(np.int64).tolist()):
-                    if article is None:
-                        rows.append((host, g, key, key, True))
-                    pages_of = seen.setdefault((host, g), [key, key])
-                    pages_of[0], pages_of[1] = min(pages_of[0], key), max(pages_of[1], key)
-            rows += [(*k, *v, False) for k, v in seen.items()]
+                streams.append((host_of(url), [t for p in others for t in p.split()]))
+                keys.append(key)
+                loose.append(article is None)
+            rows = []
+            for tokens, of in intervals(streams, run):
+                host, pages_of = streams[of[0]][0], [keys[i] for i in of]
+                rows.append((host, tokens, min(pages_of), max(pages_of), False))
+                rows += [(host, tokens, k, k, True) for k in {keys[i] for i in of if loose[i]}]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()), strict=True)],
-                names=["host", "gram", "low", "high", "loose"],
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()), strict=True)],
+                names=["host", "tokens", "low", "high", "loose"],
             )
 
-    stream = materialise(pages.mapInArrow(slim(suffixes), "host string, gram long, low long, high long, loose boolean"), "page-suffixes")
-    repeated = (
-        stream.where("not loose").groupBy("host", "gram").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("host", "gram")
-    )
-    covered = (
-        stream.where("loose").select("host", "gram", F.col("low").alias("covered_key"))
-        .join(repeated, ["host", "gram"])
-        .groupBy("covered_key")
-        .agg(F.collect_set("gram").alias("repeated"))
-    )
+    stream = materialise(pages.mapInArrow(slim(suffixes), "host string, tokens string, low long, high long, loose boolean"), "page-suffixes")
+    found = stream.groupBy(F.struct("host", "tokens").alias("at")).agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count_if("loose").alias("n"))
+    repeated = materialise(found.where("low < high and n > 0").select("at", "n"), "page-repeats")
+    uncovered = stream.where("loose").select(F.struct("host", "tokens").alias("at"), F.col("low").alias("covered_key"))
+    covered = join_counted(uncovered, repeated, "at", "n", uncovered.count()).groupBy("covered_key").agg(F.collect_set("at.tokens").alias("repeated"))
     covered = materialise(covered, "page-covered")
-    small = F.broadcast(covered) if covered.count() <= BROADCAST_ROWS else covered.hint("shuffle_hash")
+    small = hinted(covered, size_of(covered))
+    for df in (stream, repeated):
+        drop_written(df)
 
     def extract(batches):
         for batch in batches:
