@@ -111,6 +111,17 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def in_id_order(texts: DataFrame) -> DataFrame:
+    """(part, doc_id, text) rows dealt into ranges in ascending order and sorted there; part numbers the ranges.
+
+    Nulls come first, equal ids in the order of their texts' hashes; rows equal in both are dealt out, too, so no range has to hold a hot id.
+    """
+    order = [F.col("doc_id").asc_nulls_first(), F.col("__key"), F.col("__at")]
+    keyed = texts.select("doc_id", "text", F.xxhash64("text").alias("__key"), F.monotonically_increasing_id().alias("__at"))
+    dealt = keyed.repartitionByRange(shuffle_partitions(texts.sparkSession), *order).sortWithinPartitions(*order)
+    return dealt.select(F.spark_partition_id().alias("part"), "doc_id", "text")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import materialise, shuffle_partitions, slim, small_batches
+from lodestar.llm.common import hinted, in_id_order, join_counted, materialise, slim, small_batches
 
 
 def canonical(text: str | None) -> bytes:
@@ -32,15 +32,6 @@ def likeness(a: bytes, b: bytes, digest_a: str, digest_b: str) -> float:
     return float(digest_a == digest_b and a == b)
 
 
-#: A table of ids is broadcast up to so many rows; beyond that it is joined by a shuffle.
-BROADCAST_ROWS = 500_000
-
-
-def _hinted(df: DataFrame) -> DataFrame:
-    """A written table as the small side of a join: broadcast if its counted rows are few, else hashed after a shuffle."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df.hint("shuffle_hash")
-
-
 def _forms(docs: DataFrame, digits: int) -> DataFrame:
     """(doc_id, fingerprint, form) of each row."""
 
@@ -71,14 +62,16 @@ def exact_groups(docs: DataFrame, prints: DataFrame | None = None, digits: int =
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if prints is None:
         prints = materialise(_forms(docs, digits).select("doc_id", "fingerprint"), "fingerprint-ids")
-    shared = prints.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("doc_id").alias("least_id")).where("n > 1")
-    shared = materialise(shared.select("fingerprint", "least_id"), "fingerprint-shared")
-    ids = materialise(prints.join(shared, "fingerprint", "left_semi").select(F.col("doc_id").alias("id")).distinct(), "fingerprint-check")
-    forms = _forms(docs.join(_hinted(ids), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"), digits)
+    every = prints.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("doc_id").alias("least_id"))
+    every = materialise(every, "fingerprint-all")
+    total = prints.count()
+    ids = join_counted(prints, every.where("n > 1").select("fingerprint", "n"), "fingerprint", "n", total)
+    ids = materialise(ids.select(F.col("doc_id").alias("id")).distinct(), "fingerprint-check")
+    forms = _forms(docs.join(hinted(ids, ids.count() * 32), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"), digits)
     equal = materialise(forms.groupBy("fingerprint", "form").agg(F.min("doc_id").alias("form_id"), F.count("*").alias("n")), "fingerprint-forms")
     clashing = materialise(equal.groupBy("fingerprint").agg(F.count("*").alias("forms")).where("forms > 1").select("fingerprint"), "fingerprint-clashes")
-    whole = prints.join(shared, "fingerprint", "left")
-    grouped = whole.withColumn("group_id", F.coalesce("least_id", "doc_id")).drop("least_id").select(*prints.columns, "group_id")
+    whole = join_counted(prints, every, "fingerprint", "n", total)
+    grouped = whole.withColumn("group_id", F.coalesce("least_id", "doc_id")).select(*prints.columns, "group_id")
     if not clashing.limit(1).count():
         return grouped
     apart = forms.join(clashing, "fingerprint", "left_semi").join(equal.select("fingerprint", "form", "form_id"), ["fingerprint", "form"])
@@ -137,21 +130,16 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     One row (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next, group_id), see ``exact_groups``, for each row of ``docs``.  The next document is the
-    next in ascending id order (nulls first, equal ids by text), after the last the first; a
-    single document follows itself.  Null texts are empty; an empty table gives
-    no rows.  Other columns are not read.
+    next in ascending id order (nulls first, equal ids by a hash of the text), after the
+    last the first; a single document follows itself.  Null texts are empty; texts
+    of any length are read whole; an empty table gives no rows.  Other columns are not read.
 
     Texts are dealt by id ranges and sorted there once.  Only the first and
     last text of each range travel again, to meet their neighbours.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    ordered = (
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        .repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-        .select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    )
+    ordered = in_id_order(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
 
     def within(batches):
         out, last = _Edited(), None

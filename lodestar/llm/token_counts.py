@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import materialise, new_path, slim, small_batches
+from lodestar.llm.common import join_counted, materialise, new_path, slim, small_batches
 
 CACHE_SCHEMA = T.StructType(
     [
@@ -142,18 +142,9 @@ def token_counts(
         spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_dir)
         return spark.read.schema(CACHE_SCHEMA).parquet(cache_dir).where(F.col("version_digest") == version)
 
-    misses = (
-        keyed.groupBy("content_digest")
-        .agg(F.min("doc_id").alias("owner"))
-        .join(cache().select("content_digest"), "content_digest", "left_anti")
-        .select(F.col("content_digest").alias("wanted"), "owner")
-    )
     # One row stands for each missing content: the text crosses the network once, without its copies.
-    owned = (
-        docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), digest.alias("content_digest"))
-        .join(misses.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("owner")) & (F.col("content_digest") == F.col("wanted")))
-        .select("content_digest", "text")
-    )
+    contents = docs.select(digest.alias("content_digest"), text.alias("text")).dropDuplicates(["content_digest"])
+    owned = contents.join(cache().select("content_digest").distinct(), "content_digest", "left_anti")
 
     def encode(batches):
         counter = WordCounter(tokenizer_path, by_word)
@@ -166,8 +157,10 @@ def token_counts(
 
     owned.mapInArrow(slim(encode), CACHE_SCHEMA).write.mode("append").parquet(cache_dir)
 
-    # A retried append or a repeated (id, text) row may leave a count twice: equal by construction.
+    # A retried append may leave a count twice: equal by construction.
     counts = cache().groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
-    return keyed.join(counts, "content_digest").select(
+    used = keyed.groupBy("content_digest").agg(F.count("*").alias("n")).join(counts, "content_digest")
+    used = materialise(used, "token-used")
+    return join_counted(keyed, used, "content_digest", "n", keyed.count()).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > token_limit).alias("over_limit")
     )

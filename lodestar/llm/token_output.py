@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import KEPT, new_path, shuffle_partitions, slim, small_batches
+from lodestar.llm.common import KEPT, in_id_order, new_path, slim, small_batches
 
 FILE_SCHEMA = T.StructType(
     [
@@ -224,18 +224,14 @@ def write_tokens(
 
     Files are in order of their ``part``, rows in each by id; ``local_start``
     counts the ids before a row in its file.  Null texts are empty and hold the
-    end id alone; null ids come first; equal ids stay together, ordered by
-    their text.  An empty table writes a file without rows.
+    end id alone; null ids come first; equal ids stay together, ordered by a
+    hash of their text.  Texts of any length are written whole.  An empty table writes a file without rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
     by_chunk = is_byte_level(tokenizer_path)
-    ordered = (
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        .repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-        .select("doc_id", F.spark_partition_id().alias("part"), "text")
-    )
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    ordered = in_id_order(texts).select("doc_id", "part", "text")
 
     def encode_ids(batches):
         encoder = encoder_for(tokenizer_path, end_id, by_chunk, memo_chunks)

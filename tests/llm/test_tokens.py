@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+import xxhash
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
@@ -68,7 +69,7 @@ def test_output_round_trip(spark, docs, tmp_path):
     tokenizer = Tokenizer.from_file(BYTE)
     write_tokens(df, path, BYTE)
     want, start = [], 0
-    for i, t, _, _ in sorted(rows, key=lambda r: (r[0], r[1] or "")):
+    for i, t, _, _ in sorted(rows, key=lambda r: (r[0], np.uint64(xxhash.xxh64_intdigest(r[1] or "", 42)).astype(np.int64))):
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
         want.append((i, start, len(ids), ids))
         start += len(ids)
@@ -79,6 +80,25 @@ def test_output_round_trip(spark, docs, tmp_path):
     assert crc == {s: zlib.crc32(np.array(ids, "<u4").tobytes()) for _, s, _, ids in want}
     meta = pq.ParquetFile(sorted(tmp_path.glob("tokens/part-*.parquet"))[0]).metadata.row_group(0)
     assert all(meta.column(c).has_column_index and meta.column(c).has_offset_index for c in range(4))
+    ids = next(meta.column(c) for c in range(meta.num_columns) if meta.column(c).path_in_schema.startswith("ids"))
+    assert "DELTA_BINARY_PACKED" in ids.encodings and "PLAIN_DICTIONARY" not in ids.encodings and ids.compression == "ZSTD"
+
+
+def test_repeated_rows_and_null_ids(spark):
+    """Many rows of one id and one text, and many of null id: each has its place and its count."""
+    rows = [(7, "same text here", 0, 0)] * 300 + [(None, f"text {i % 3}", 0, 0) for i in range(200)] + [(1, "first", 0, 0)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    tokenizer = Tokenizer.from_file(BYTE)
+    got = sorted(token_output(df, BYTE).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 200 + [1] + [7] * 300
+    at = 0
+    for r in got:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    assert at == sum(len(tokenizer.encode(t).ids) + 1 for _, t, _, _ in rows)
+    counts = token_counts(df, WORD).collect()
+    word = Tokenizer.from_file(WORD)
+    assert sorted(r["n_tokens"] for r in counts) == sorted(len(word.encode(t).ids) for _, t, _, _ in rows)
 
 
 def test_empty(spark):
