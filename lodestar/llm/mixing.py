@@ -16,6 +16,7 @@ and nothing that grows with the rows.
 
 from __future__ import annotations
 
+import math
 import re
 import warnings
 from dataclasses import dataclass
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from lodestar.llm.common import fresh, materialise, slim, small_batches
-from lodestar.llm.toxicity import Examples, Features, Model, held_out, labelled_texts
+from lodestar.llm.toxicity import Examples, Features, Model, held_out, labelled_texts, logistic, summed
 from lodestar.llm.toxicity import fit as fit_ftrl
 
 #: Domains of a labelled row.
@@ -50,27 +51,24 @@ def letters_in(text: str) -> int:
     return n if text.isascii() else n + sum(map(str.isalpha, _ASCII.sub("", text)))
 
 
-def shape(text: str) -> np.ndarray:
+def shape(text: str, words: list[str]) -> list[float]:
     """What a text looks like: sizes and shares, each about 0 to 1."""
     n = len(text) or 1
-    words = text.split()
     k = len(words) or 1
     lines = text.split("\n")
-    return np.array(
-        [
-            1.0,
-            np.log1p(len(words)) / 10,
-            min(3.0, n / k / 10),
-            letters_in(text) / n,
-            sum(map(text.count, "#$%&*|<>{}[]=_/\\@~^+")) / n * 10,
-            sum(map(text.count, "0123456789")) / n * 10,
-            text.count(" ") / n * 5,
-            len(set(words)) / k,
-            len(set(lines)) / len(lines),
-            min(3.0, n / len(lines) / 300),
-            sum(map(text.count, ".,;:!?")) / k,
-        ]
-    )
+    return [
+        1.0,
+        math.log1p(len(words)) / 10,
+        min(3.0, n / k / 10),
+        letters_in(text) / n,
+        sum(map(text.count, "#$%&*|<>{}[]=_/\\@~^+")) / n * 10,
+        sum(map(text.count, "0123456789")) / n * 10,
+        text.count(" ") / n * 5,
+        len(set(words)) / k,
+        len(set(lines)) / len(lines),
+        min(3.0, n / len(lines) / 300),
+        sum(map(text.count, ".,;:!?")) / k,
+    ]
 
 
 @dataclass
@@ -80,28 +78,32 @@ class Domains:
     weight: np.ndarray  # features x domains
     words: list  # one hashed-word model for each domain
 
-    def posteriors(self, texts: list[str], features: Features, dense: np.ndarray) -> np.ndarray:
-        z = _inputs(texts, features, self.words, dense) @ self.weight
-        e = np.exp(z - z.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
+    def reader(self):
+        """A function from a list of texts to their words' numbers and posteriors."""
+        inputs = _inputs(self.words)
 
+        def read(texts: list[str]) -> tuple[list[int], np.ndarray]:
+            x, n = inputs(texts)
+            z = x @ self.weight
+            e = np.exp(z - z.max(axis=1, keepdims=True))
+            return n, e / e.sum(axis=1, keepdims=True)
 
-def dense_of(models: list[Model]) -> np.ndarray:
-    """The models' weights side by side, so one look-up of a feature finds all."""
-    return np.stack([m.dense() for m in models], axis=1)
+        return read
 
 
-def _inputs(texts: list[str], features: Features, models: list[Model], dense: np.ndarray) -> np.ndarray:
-    """The shape features of each text and the words' scores, -1 to 1."""
+def _inputs(models: list[Model]):
+    """A function from a list of texts to their inputs, which are the shape features and the words' scores from -1 to 1, and their words' numbers."""
+    features, bias = Features(), np.array([m.bias for m in models])
+    dense = np.stack([m.dense() for m in models], axis=1)  # side by side, so one look-up of a feature finds all
     used = dense.any(axis=1)
-    z = np.tile([m.bias for m in models], (len(texts), 1))
-    for i, t in enumerate(texts):
-        f = features(t)
-        at = np.unique(f[used[f]])
-        if len(at):
-            z[i] += dense[at].sum(axis=0, dtype=np.float64)
-    words = 2 / (1 + np.exp(-np.clip(z, -35, 35))) - 1
-    return np.concatenate([np.array([shape(t) for t in texts] or np.zeros((0, len(shape(""))))), words], axis=1)
+
+    def of(texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        found = features(texts)
+        scores = 2 * logistic(bias + summed(found, dense, used)) - 1
+        shapes = [shape(t, w) for t, w in zip(texts, found.words, strict=True)]
+        return np.concatenate([np.array(shapes or np.zeros((0, 11))), scores], axis=1), list(map(len, found.words))
+
+    return of
 
 
 def _softmax(x: np.ndarray, y: np.ndarray, k: int, steps: int = 400, rate: float = 0.5, l2: float = 1e-4) -> np.ndarray:
@@ -138,14 +140,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4_000, id_col:
         rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
         rows.sort(key=lambda r: (xxhash.xxh3_64_intdigest(str(r[0])), r[0], r[1]))
         words = Examples()
-        words.add([features(t) for _, t, _ in rows[::2]], [r[2] for r in rows[::2]])
+        words.add(features([t for _, t, _ in rows[::2]]).each(), [r[2] for r in rows[::2]])
         out = []
         if rows:
             models = [
                 fit_ftrl(words.arrange(list(range(len(words))), [int(y == k) for y in words.labels]), positive_weight=1.0) for k in range(len(DOMAINS))
             ]
             rest = rows[1::2] or rows
-            x = _inputs([t for _, t, _ in rest], features, models, dense_of(models))
+            x, _ = _inputs(models)([t for _, t, _ in rest])
             w = _softmax(x, np.array([r[2] for r in rest]), len(DOMAINS))
             out = [(-1 - i, k, float(w[i, k])) for i in range(w.shape[0]) for k in range(w.shape[1])]
             for k, m in enumerate(models):
@@ -172,12 +174,10 @@ def _scored(docs: DataFrame, domains: Domains | None, text_col: str, keep: list[
     kept = docs.select(*keep, F.col(text_col).alias(names[0]))  # the text goes in under the first name
 
     def run(batches):
-        model, features = spread.value, Features()
-        dense = dense_of(model.words) if model else None
+        read = spread.value.reader() if spread.value else lambda texts: ([len(t.split()) for t in texts], np.full((len(texts), len(DOMAINS)), 1.0 / len(DOMAINS)))
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
-            p = np.full((len(texts), len(DOMAINS)), 1.0 / len(DOMAINS)) if model is None else model.posteriors(texts, features, dense)
-            new = [pa.array([len(t.split()) for t in texts], pa.int64()), *(pa.array(p[:, k]) for k in range(len(DOMAINS)))]
+            n, p = read([t or "" for t in batch.column(len(keep)).to_pylist()])
+            new = [pa.array(n, pa.int64()), *(pa.array(p[:, k]) for k in range(len(DOMAINS)))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names=[*keep, *names])
 
     schema = StructType([*kept.schema.fields[:-1], StructField(names[0], LongType()), *(StructField(n, DoubleType()) for n in names[1:])])

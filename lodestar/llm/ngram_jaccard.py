@@ -32,9 +32,7 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.common import HOT_KEYS, HOT_ROWS, drop_written, fresh, hinted, join_counted, materialise, shuffle_partitions, slim, small_batches
 from lodestar.llm.components import connected_components
-
-#: Bytes of text that are hashed at once; a longer text is hashed alone.
-CHUNK = 1 << 20
+from lodestar.llm.words import WordHashes, chunks
 
 #: Shingles in the order's table of heavy ones, each of HEAVY_SETS sets or more.  Any table gives the same links; its size bounds the broadcast.
 HEAVY = 300_000
@@ -71,7 +69,6 @@ class Similarity:
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
-_BYTES = np.array([xxhash.xxh3_64_intdigest(bytes([b]), 11) for b in range(256)], np.uint64)
 
 
 class Shingler:
@@ -79,46 +76,16 @@ class Shingler:
 
     def __init__(self, words: int):
         self.words = words
-        self.powers = np.ones(1, np.uint64)
+        self.hashes = WordHashes(11)
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
-        out, part, size = [], [], 0
-        for t in texts.cast(pa.large_binary()).to_pylist():
-            if part and size + len(t) > CHUNK:
-                out += self._hashed(part)
-                part, size = [], 0
-            part.append(t)
-            size += len(t)
-        return out + self._hashed(part) if part else out
+        parts = texts.cast(pa.large_binary()).to_pylist()
+        return [s for a, b in chunks(list(map(len, parts))) for s in self._hashed(parts[a:b])]
 
     def _words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, hash) of each word: the sum of its bytes' numbers, each by a power of an odd constant for its place."""
-        white = _WHITE[data]
-        begins = ~white
-        begins[1:] &= white[:-1]
-        starts = np.flatnonzero(begins)
-        if not len(starts):
-            return starts, np.zeros(0, np.uint64)
-        place = np.arange(len(data)) - np.repeat(starts, np.diff(starts, append=len(data))) if starts[0] == 0 else None
-        if place is None:
-            return self._shifted(data, int(starts[0]))
-        place[white] = 0
-        most = int(place.max()) + 1
-        if len(self.powers) < most:
-            self.powers = np.full(1 << most.bit_length(), 0x9E3779B97F4A7C15, np.uint64)
-            self.powers[0] = 1
-            self.powers = np.cumprod(self.powers)
-        numbers = _BYTES[data] * self.powers[place]
-        numbers[white] = 0
-        h = np.add.reduceat(numbers, starts)
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(29)
-        return starts, h
-
-    def _shifted(self, data: np.ndarray, by: int) -> tuple[np.ndarray, np.ndarray]:
-        starts, h = self._words(data[by:])
-        return starts + by, h
+        """(start, hash) of each word."""
+        edges = np.flatnonzero(np.diff(~_WHITE[data], prepend=False, append=False))
+        return edges[::2], self.hashes(data, edges[::2], edges[1::2])
 
     def _hashed(self, texts: list[bytes]) -> list[np.ndarray]:
         starts, h = self._words(np.frombuffer(b" ".join(texts).lower(), np.uint8))  # bytes: A-Z only

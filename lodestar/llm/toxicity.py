@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,40 +16,75 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import slim, small_batches
+from lodestar.llm.words import WordHashes, chunks
 
 #: Width of the hashed feature space.
 BITS = 20
 
-#: Entries of a worker's memo of word hashes; it is emptied beyond that, so memory stays bounded.
-MEMO_WORDS = 60_000
+_ENDS = np.zeros(256, bool)
+_ENDS[[c for c in range(33, 127) if not chr(c).isalnum()]] = True  # what is stripped from a word's ends
 
-_STRIPPED = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+
+@dataclass
+class Found:
+    """Features of a list of texts: indices, the text of each, and the words of the texts."""
+
+    index: np.ndarray
+    of: np.ndarray
+    words: list[list[str]]
+
+    def each(self) -> list[np.ndarray]:
+        """The distinct features of each text."""
+        order = np.argsort(self.of, kind="stable")
+        ends = np.searchsorted(self.of[order], np.arange(1, len(self.words)))
+        return [np.unique(x) for x in np.split(self.index[order], ends)]
 
 
 class Features:
-    """Hashed presence features of a text: words, word pairs, and pairs with one word between."""
+    """Hashed presence features of texts: words, word pairs, and pairs with one word between."""
 
     def __init__(self, bits: int = BITS):
         self.mask = np.uint64((1 << bits) - 1)
-        self.memo: dict[str, int] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.split()
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        for w in set(words).difference(memo):
-            # Two checksums of the folded word make 64 bits; alike on every worker.
-            b = (w.strip(_STRIPPED).lower() or w).encode("utf-8", "surrogatepass")
-            memo[w] = (zlib.crc32(b) << 32) | zlib.adler32(b, 0x51ED)
-        h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words)) * np.uint64(0x9E3779B97F4A7C15)
-        with np.errstate(over="ignore"):
-            parts = [h ^ (h >> np.uint64(29))]
-            for step, salt in ((1, 0xC2B2AE3D27D4EB4F), (2, 0x165667B19E3779F9)):
-                if len(words) > step:
-                    pair = (h[:-step] * np.uint64(salt)) ^ (h[step:] + np.uint64(salt))
-                    parts.append(pair ^ (pair >> np.uint64(31)))
-        return ((np.concatenate(parts) >> np.uint64(17)) & self.mask).astype(np.int64)
+        self.hashes = WordHashes(17)
+
+    def __call__(self, texts: list[str]) -> Found:
+        words = [t.split() for t in texts]
+        index, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b in chunks(list(map(len, texts))):
+            found, doc = self._of(words[a:b])
+            index.append(found), of.append(doc + a)
+        return Found(np.concatenate(index), np.concatenate(of), words)
+
+    def _of(self, words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        doc = np.repeat(np.arange(len(words)), list(map(len, words)))
+        joined = " ".join(chain.from_iterable(words)).lower()
+        data = np.frombuffer(joined.encode("utf-8", "surrogatepass"), np.uint8)
+        edges = np.flatnonzero(np.diff(data != 32, prepend=False, append=False))
+        starts, stops = edges[::2], edges[1::2]
+        # Words lose the punctuation at their ends, unless they are nothing else.
+        inner = np.flatnonzero(~_ENDS[data] & (data != 32))
+        at, last = np.searchsorted(inner, starts), np.searchsorted(inner, stops)
+        some = last > at
+        starts[some], stops[some] = inner[at[some]], inner[last[some] - 1] + 1
+        h = self.hashes(data, starts, stops) * np.uint64(0x9E3779B97F4A7C15)
+        parts, docs = [h ^ (h >> np.uint64(29))], [doc]
+        for step, salt in ((1, 0xC2B2AE3D27D4EB4F), (2, 0x165667B19E3779F9)):
+            pair = (h[:-step] * np.uint64(salt)) ^ (h[step:] + np.uint64(salt))
+            same = doc[:-step] == doc[step:]
+            parts.append((pair ^ (pair >> np.uint64(31)))[same]), docs.append(doc[:-step][same])
+        return ((np.concatenate(parts) >> np.uint64(17)) & self.mask).astype(np.int64), np.concatenate(docs)
+
+
+def summed(found: Found, dense: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """The sums of the weights of each text's distinct features; ``dense`` has a column for each model, ``used`` marks its rows that are not zero."""
+    hit = used[found.index]
+    keys = np.unique((found.of[hit] << 32) | found.index[hit])
+    of, weights = keys >> 32, dense[keys & 0xFFFFFFFF]
+    return np.stack([np.bincount(of, weights=w, minlength=len(found.words)) for w in weights.T], axis=1)
+
+
+def logistic(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -35.0, 35.0)))
 
 
 @dataclass
@@ -65,10 +101,11 @@ class Model:
         w[self.index] = self.weight
         return w
 
-    def score(self, features: np.ndarray, dense: np.ndarray) -> float:
-        at = features[dense[features] != 0]
-        z = self.bias + (float(dense[np.unique(at)].sum(dtype=np.float64)) if len(at) else 0.0)
-        return 1.0 / (1.0 + float(np.exp(-min(max(z, -35.0), 35.0))))
+    def scorer(self):
+        """A function from a list of texts to their scores."""
+        features, dense = Features(self.bits), self.dense()[:, None]
+        used = dense[:, 0] != 0
+        return lambda texts: logistic(self.bias + summed(features(texts), dense, used)[:, 0])
 
 
 class Examples:
@@ -80,7 +117,7 @@ class Examples:
         self.labels: list[int] = []
 
     def add(self, rows: list[np.ndarray], labels: list[int]) -> None:
-        rows = [np.unique(f).astype(np.int32) for f in rows]
+        rows = [f.astype(np.int32) for f in rows]
         self.parts.append(np.concatenate([np.zeros(0, np.int32), *rows]))
         self.lengths += map(len, rows)
         self.labels += labels
@@ -172,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, id_col:
         for batch in batches:
             ids, texts, ys = (batch.column(i).to_pylist() for i in range(3))
             keys += [(zlib.crc32(str(i).encode()), i, zlib.crc32(t.encode("utf-8", "surrogatepass"))) for i, t in zip(ids, texts, strict=True)]
-            found.add(list(map(features, texts)), list(map(int, ys)))
+            found.add(features(texts).each(), list(map(int, ys)))
         found = found.arrange(sorted(range(len(keys)), key=keys.__getitem__))  # the same order however the rows came
         model = fit(found) if keys else Model()
         yield pa.RecordBatch.from_arrays(
@@ -192,12 +229,11 @@ def scores(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str =
     spread = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
-        features, model = Features(spread.value.bits), spread.value
-        dense = model.dense()
+        score_of = spread.value.scorer()
         for batch in batches:
-            s = [model.score(features(t), dense) for t in batch.column(2).to_pylist()]
+            s = score_of(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(s, pa.float64()), pa.array([int(x >= threshold) for x in s], pa.int32())],
+                [batch.column(0), batch.column(1), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))],
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
@@ -228,10 +264,8 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7, text_col:
     at = docs.columns.index(text_col)
 
     def keep(batches):
-        features, model = Features(spread.value.bits), spread.value
-        dense = model.dense()
+        score_of = spread.value.scorer()
         for batch in batches:
-            mask = [model.score(features(t or ""), dense) < threshold for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(mask, pa.bool_()))
+            yield batch.filter(pa.array(score_of([t or "" for t in batch.column(at).to_pylist()]) < threshold))
 
     return docs.mapInArrow(slim(keep), docs.schema)

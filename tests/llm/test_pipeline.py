@@ -74,9 +74,8 @@ def test_run_equals_brute_force(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
 
-    features, model = toxicity.Features(), toxicity.train(docs, labels)
-    dense = model.dense()
-    rows = [(i, t) for i, t in rows if model.score(features(t or ""), dense) < cp.TOXIC]
+    scores = toxicity.train(docs, labels).scorer()([t or "" for _, t in rows])
+    rows = [x for x, score in zip(rows, scores) if score < cp.TOXIC]
     root = {i: c for i, _, c, _ in near_classes(rows, cp.NEAR)}
     rows = [(i, t) for i, t in rows if root[i] == i]
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
@@ -88,7 +87,7 @@ def test_run_equals_brute_force(spark, sf):
     soft = cp.materialise(mixing.posteriors(kept, domains), "test")
     rates = mixing.fit_rates(soft, cp.WEIGHTS, 1.0, cp.MOST_RATE, grow=True)
     assert rates.miss < 0.05
-    posterior = domains.posteriors([t or "" for _, t in rows], features, mixing.dense_of(domains.words))
+    _, posterior = domains.reader()([t or "" for _, t in rows])
     r = np.ones(len(rows))
     for step in rates.steps:
         r = np.clip(r - posterior[:, :2] @ step, 1.0, cp.MOST_RATE)
