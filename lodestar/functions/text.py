@@ -38,22 +38,26 @@ def half_even(total: Column, n: Column) -> Column:
     return F.when(n > 0, F.bround(total.cast("double") / n, 0).cast("int")).otherwise(0)
 
 
-def phone(text: Column) -> Column:
-    return F.nullif(F.regexp_extract(text, r"\(\d{3}\)\s*\d{3}[- ]?\d{4}", 0), F.lit(""))
+# The patterns of phone numbers and dates, and the months' letters.
+PHONE = r"\(\d{3}\)\s*\d{3}[- ]?\d{4}"
+LONG_DATE = r"(?i)\b((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec)[a-z]*\.?\s+\d{1,2},\s+20\d{2})"
+ISO_DATE = r"20\d{2}-\d{2}-\d{2}"
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
 
 
-_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
+def phone(text: Column) -> Column:
+    return F.nullif(F.regexp_extract(text, PHONE, 0), F.lit(""))
 
 
 def published_date(text: Column) -> Column:
     """ISO date of the first "Mon d, 20yy" with the month's three letters and a day that exists, else the first 20yy-mm-dd as it stands."""
-    named = F.regexp_extract(text, r"(?i)\b((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec)[a-z]*\.?\s+\d{1,2},\s+20\d{2})", 1)
+    named = F.regexp_extract(text, LONG_DATE, 1)
     month = F.lower(F.regexp_extract(named, r"^([A-Za-z]{3})\s+(\d{1,2}),\s+(\d{4})$", 1))
     day = F.regexp_extract(named, r"^([A-Za-z]{3})\s+(\d{1,2}),\s+(\d{4})$", 2)
     year = F.regexp_extract(named, r"^([A-Za-z]{3})\s+(\d{1,2}),\s+(\d{4})$", 3)
     number = F.lpad(((F.instr(F.lit(_MONTHS), month) + 3) / 4).cast("int").cast("string"), 2, "0")
     valid = F.when(month != "", F.concat_ws("-", year, number, F.lpad(day, 2, "0")).try_cast("date").cast("string"))
-    return F.coalesce(valid, F.nullif(F.regexp_extract(text, r"20\d{2}-\d{2}-\d{2}", 0), F.lit("")))
+    return F.coalesce(valid, F.nullif(F.regexp_extract(text, ISO_DATE, 0), F.lit("")))
 
 
 def parse_timestamp(text: Column) -> Column:

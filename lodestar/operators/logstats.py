@@ -12,9 +12,17 @@ def trailing_count(rows: DataFrame, ts: str, seconds: int, keys: list[str], alia
     return rows.withColumn(alias, F.count("*").over(w))
 
 
-def backoff(level: Column, storm: Column, cap: float = 300.0) -> Column:
-    """5 or 2 seconds, doubled with each level, to the cap."""
-    return F.least(F.lit(cap), F.when(storm, 5.0).otherwise(2.0) * F.pow(F.lit(2.0), level))
+def backoff(level: Column, storm: Column, cap: float = 300.0, jitter: Column | float = 1.0, retry_after: Column | None = None, throttled: Column | None = None, margin: Column | float = 2.0) -> Column:
+    """Seconds to wait: 5 or 2, doubled with each level, to the cap, times the jitter.
+
+    A longer Retry-After takes their place, with the margin; the rest of a
+    throttle that ends later holds the request until then, with the margin.
+    """
+    wait = F.least(F.lit(cap), F.when(storm, 5.0).otherwise(2.0) * F.pow(F.lit(2.0), level)) * jitter
+    for other in (retry_after, throttled):
+        if other is not None:
+            wait = F.when(other > wait, other + margin).otherwise(wait)
+    return wait
 
 
 def streaks(rows: DataFrame, key: str, ts: str, gap_seconds: int) -> DataFrame:
@@ -64,7 +72,7 @@ def token_bucket(rows: DataFrame, key: str, order: str, micros: str, capacity: f
 
 
 def _full(capacity: float, per_second: float) -> str:
-    return f"least({capacity}D, s.have + {per_second}D * (coalesce(x.us - s.t, 0L) / 1000000D))"
+    return f"least({capacity}D, s.have + {per_second}D * (greatest(0L, coalesce(x.us - s.t, 0L)) / 1000000D))"
 
 
 def _left(capacity: float, per_second: float) -> str:
@@ -85,39 +93,105 @@ def stalls(rows: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
     return rows.withColumn("gap_us", gap).where(F.col("gap_us") > seconds * 1_000_000)
 
 
-def storm_machine(rows: DataFrame, key: str, micros: str, window_s: int = 300, first_cool: float = 75.0, cool: float = 67.5, extend: float = 20.0, many: int = 5, most: int = 6) -> DataFrame:
-    """(key, storms, extensions, last_calm_us): the 429 state machine folded over each key's hits, with mean cool-off times.
+def _folded(rows: DataFrame, key: str, item: Column, start: str, step: str) -> DataFrame:
+    """(key, s): the SQL expression ``step`` of (state s, item x) folded over each key's items in their order."""
+    return rows.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("__a")).select(key, F.expr(f"aggregate(__a, {start}, (s, x) -> {step})").alias("s"))
+
 
-    The first hit, and ``many`` within the window, start a cool-off when calm; hits during one extend it, ``most`` times at most.
+def storm_machine(
+    rows: DataFrame, key: str, micros: str, window_s: int = 300, calm_s: int = 60, first_cool: float = 75.0, cool: float = 67.5, extend: float = 20.0, many: int = 5, most: int = 6, refill: float = 1.2
+) -> DataFrame:
+    """(key, storms, extensions, calm_us, level, refill): the 429 state machine over each key's hits, with mean cool-off times.
+
+    A hit that stands alone in the window, or is one of ``many``, starts a storm
+    where none is on; one within a storm's cool-off extends it, ``most`` times
+    at most, raises the retry level to 8 at most and lowers the refill rate to a
+    fifth at least.  A hit after the cool-off ends the storm first, and only the
+    hits of the last ``calm_s`` seconds are remembered then.  The state holds
+    the last ``many`` hits, enough to tell all of that.
     """
-    hits = rows.groupBy(key).agg(F.sort_array(F.collect_list(micros)).alias("h"))
-    fold = F.expr(
-        f"""aggregate(sequence(0, size(h) - 1), named_struct('until', -1L, 'storms', 0L, 'ext', 0L, 'now_ext', 0L),
-             (s, i) -> case
-               when h[i] < s.until then named_struct('until', if(s.now_ext < {most}, s.until + cast({extend} * 1000000 as bigint), s.until),
-                    'storms', s.storms, 'ext', s.ext + if(s.now_ext < {most}, 1L, 0L), 'now_ext', s.now_ext + if(s.now_ext < {most}, 1L, 0L))
-               when i = 0 or size(filter(slice(h, 1, i + 1), x -> x >= h[i] - {window_s}000000L)) >= {many}
-                    then named_struct('until', h[i] + cast(if(i = 0, {first_cool}, {cool}) * 1000000 as bigint), 'storms', s.storms + 1L, 'ext', s.ext, 'now_ext', 0L)
-               else s end)"""
+    second = 1_000_000
+    # What a hit finds: an ended storm is over, old hits are forgotten.
+    found = f"""named_struct('on', s.on and x < s.until, 'until', s.until, 'ext', if(s.on and x >= s.until, 0, s.ext), 'level', if(s.on and x >= s.until, 0, s.level),
+        'hits', slice(reverse(filter(concat(s.hits, array(x)), h -> h >= x - {window_s * second}L and not (s.on and x >= s.until and h <= x - {calm_s * second}L))), 1, {many}),
+        'storms', s.storms, 'total', s.total, 'refill', s.refill)"""
+    starts = f"(not f.on and (size(f.hits) = 1 or size(f.hits) >= {many}))"
+    extends = f"(f.on and f.ext < {most})"
+    after = f"""transform(array({found}), f -> named_struct('on', f.on or {starts},
+        'until', case when {starts} then x + if(size(f.hits) = 1, {int(first_cool * second)}L, {int(cool * second)}L) when {extends} then f.until + {int(extend * second)}L else f.until end,
+        'ext', f.ext + if({extends}, 1, 0), 'level', case when {starts} then 1 when {extends} then least(8, f.level + 1) else f.level end,
+        'hits', reverse(f.hits), 'storms', f.storms + if({starts}, 1L, 0L), 'total', f.total + if({extends}, 1L, 0L),
+        'refill', if({extends}, greatest({refill}D * 0.2D, f.refill * 0.85D), f.refill)))[0]"""
+    start = f"named_struct('on', false, 'until', -1L, 'ext', 0, 'level', 0, 'hits', cast(array() as array<bigint>), 'storms', 0L, 'total', 0L, 'refill', {refill}D)"
+    done = _folded(rows, key, F.col(micros).cast("long"), start, after)
+    return done.select(key, "s.storms", F.col("s.total").alias("extensions"), F.col("s.until").alias("calm_us"), "s.level", "s.refill")
+
+
+def admission(arrivals: DataFrame, key: str, order: str, micros: str, global_gap: float = 0.8, guide_gap: float = 1.0, jitter: float = 0.2, cap: int = 6) -> DataFrame:
+    """(key, admitted and what else held a request back): the gates that each key's arrivals meet, counted.
+
+    ``arrivals`` also has throttle_us (the end of a throttle), storm and
+    in_flight, as they are when a request arrives.  A request is held by the
+    first of: the gap to the last request of any kind, the gap to the last
+    detail request, the throttle, the storm, the cap.  One held by the second
+    gap moves it: the next counts from when that one is ready.  One that reaches
+    the cap has passed both gaps, so their times move though it is held.
+    """
+    gaps = [int(x * 1_000_000) for x in (global_gap, guide_gap, jitter)]
+    item = F.struct(order, F.col(micros).alias("t"), "throttle_us", "storm", "in_flight")
+    gate = f"""case when s.any + {gaps[0]}L > x.t then 1 when s.guide + {gaps[1]}L > x.t then 2 when x.t < x.throttle_us then 3 when x.storm then 4 when x.in_flight >= {cap} then 5 else 0 end"""
+    step = f"""transform(array({gate}), g -> named_struct('any', if(g in (0, 5), x.t, s.any), 'guide', case when g in (0, 5) then x.t when g = 2 then s.guide + {gaps[1] + gaps[2]}L else s.guide end,
+        'n', transform(s.n, (c, i) -> c + if(i = g, 1L, 0L))))[0]"""
+    done = _folded(arrivals, key, item, f"named_struct('any', -{1 << 60}L, 'guide', -{1 << 60}L, 'n', array_repeat(0L, 6))", step)
+    names = ["admitted", "global_gap", "guide_gap", "throttle", "storm", "in_flight"]
+    return done.select(key, *[F.col("s.n")[i].alias(n) for i, n in enumerate(names)])
+
+
+def pacing(windows: DataFrame, key: str, order: str, hits: str, refill: float = 1.2, base_refill: float = 1.2) -> DataFrame:
+    """(key, global_gap, guide_gap, refill) after each key's summary windows, which ``windows`` has without holes.
+
+    Every hit makes the gaps longer; from the second clean window in a row on
+    they get shorter and the refill rate goes back to its base; the row of clean
+    windows starts anew with a hit, and when the global gap has changed by a hundredth.
+    """
+    step = f"""if(x.{hits} > 0, named_struct('g', least(15D, s.g * pow(1.2D, x.{hits})), 'd', least(5D, s.d * pow(1.25D, x.{hits})), 'r', s.r, 'clean', 0),
+        if(s.clean >= 1, named_struct('g', greatest(0.3D, s.g * 0.9D), 'd', greatest(0.5D, s.d * 0.9D), 'r', if(s.r < {base_refill}D, least({base_refill}D, s.r * 1.15D), s.r),
+            'clean', if(floor(s.g * 100) != floor(greatest(0.3D, s.g * 0.9D) * 100), 0, s.clean + 1)),
+          named_struct('g', s.g, 'd', s.d, 'r', s.r, 'clean', s.clean + 1)))"""
+    done = _folded(windows, key, F.struct(order, hits), f"named_struct('g', 0.8D, 'd', 1.0D, 'r', {refill}D, 'clean', 0)", step)
+    return done.select(key, F.col("s.g").alias("global_gap"), F.col("s.d").alias("guide_gap"), F.col("s.r").alias("refill"))
+
+
+def captcha(rows: DataFrame, key: str, ts: str, gap_s: int = 120, window_s: int = 900, many: int = 3, cool: float = 120.0, more: float = 180.0) -> DataFrame:
+    """``streaks`` with n_recent, the cool-off (mean times; longer for ``many`` in the window) and the gaps that a streak calls for."""
+    out = trailing_count(streaks(rows, key, ts, gap_s), ts, window_s, [key])
+    streak = F.least(F.col("streak"), F.lit(6)).cast("double")
+    return out.withColumns(
+        {
+            "cool": F.lit(cool) + F.when(F.col("n_recent") >= many, more).otherwise(0.0),
+            "global_target": F.least(F.lit(15.0), 0.3 * F.pow(F.lit(1.5), streak)),
+            "guide_target": F.least(F.lit(6.0), 0.5 * F.pow(F.lit(1.6), streak)),
+        }
     )
-    return hits.select(key, fold.alias("s")).select(key, F.col("s.storms").alias("storms"), F.col("s.ext").alias("extensions"), F.col("s.until").alias("calm_us"))
 
 
-def admission(rows: DataFrame, order: str, global_gap: Column, guide_gap: Column, throttled: Column, storm: Column, in_flight: Column) -> DataFrame:
-    """The first gate that holds a request back, in the order gaps, throttle, storm and cap; admitted if none."""
-    gate = (
-        F.when(global_gap, "global_gap").when(guide_gap, "guide_gap").when(throttled, "throttle").when(storm, "storm").when(in_flight, "in_flight").otherwise("admitted")
-    )
-    return rows.withColumn("gate", gate)
+def latency_pacing(paced: DataFrame, key: str, order: list[str], refill: float = 1.2, gap: float = 0.8) -> DataFrame:
+    """(key, refill, global_gap) after the paces of ``rolling_latency``: slow ones lower the rate and lengthen the gap, fast ones do the reverse."""
+    step = """case x.pace when 'slow' then named_struct('r', greatest(0.4D, s.r * 0.9D), 'g', least(15D, s.g * 1.1D))
+        when 'fast' then named_struct('r', least(3D, s.r * 1.05D), 'g', greatest(0.3D, s.g * 0.95D)) else s end"""
+    done = _folded(paced, key, F.struct(*order, "pace"), f"named_struct('r', {refill}D, 'g', {gap}D)", step)
+    return done.select(key, F.col("s.r").alias("refill"), F.col("s.g").alias("global_gap"))
 
 
-def pacing(windows: DataFrame, key: str, order: str, hits: str) -> DataFrame:
-    """(key, global_gap, guide_gap) after each key's minute windows: slower after hits, faster after two clean windows in a row."""
-    seq = windows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, hits))).alias("w"))
-    fold = F.expr(
-        f"""aggregate(w, named_struct('g', 0.8D, 'd', 1.0D, 'clean', 0),
-             (s, x) -> case when x.{hits} > 0 then named_struct('g', least(15D, s.g * 1.2D), 'd', least(5D, s.d * 1.25D), 'clean', 0)
-               when s.clean >= 1 then named_struct('g', greatest(0.3D, s.g * 0.9D), 'd', greatest(0.5D, s.d * 0.9D), 'clean', s.clean + 1)
-               else named_struct('g', s.g, 'd', s.d, 'clean', s.clean + 1) end)"""
-    )
-    return seq.select(key, fold.alias("s")).select(key, F.col("s.g").alias("global_gap"), F.col("s.d").alias("guide_gap"))
+def release_order(delayed: DataFrame, ready: str, seq: str, batch: int = 3) -> DataFrame:
+    """``delayed`` with the idle tick in which each is released: one queue by (ready time, sequence), ``batch`` to a tick, none before it is ready.
+
+    Ranks are counted within ranges of the order and the ranges' counts summed, so no task sorts the whole queue.
+    """
+    parts = delayed.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    dealt = delayed.repartitionByRange(int(parts), ready, seq).withColumn("__part", F.spark_partition_id())
+    within = dealt.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(ready, seq)))
+    before = Window.orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    offsets = within.groupBy(F.col("__part").alias("__of")).agg(F.count("*").alias("__rows")).select("__of", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
+    place = F.col("__offset") + F.col("__n") - 1
+    return within.join(F.broadcast(offsets), F.col("__part") == F.col("__of")).withColumn("tick", F.floor(place / batch).cast("long")).drop("__part", "__n", "__of", "__offset")

@@ -36,9 +36,9 @@ def resume(topics: DataFrame, progress: DataFrame) -> DataFrame:
 
 
 def topic_counts(topics: DataFrame, bridge: DataFrame, key: str) -> DataFrame:
-    """Rows of the bridge for each topic, 0 for none."""
+    """Rows of the bridge for each topic, 0 for none, in the order of the topics."""
     counts = bridge.groupBy(key).agg(F.count("*").alias("n_guides"))
-    return topics.join(counts, key, "left").withColumn("n_guides", F.coalesce("n_guides", F.lit(0).cast("long")))
+    return topics.join(counts, key, "left").withColumn("n_guides", F.coalesce("n_guides", F.lit(0).cast("long"))).orderBy(key)
 
 
 def top_n(rows: DataFrame, groups: list[str], order: list[str], n: int) -> DataFrame:
@@ -46,11 +46,32 @@ def top_n(rows: DataFrame, groups: list[str], order: list[str], n: int) -> DataF
 
 
 def round_robin(rows: DataFrame, group: str, order: str) -> DataFrame:
-    """(round, place in the round): each round takes the next row of each group, groups in order."""
+    """(round, place in the round): each round takes the next row of each group, groups in order.
+
+    Groups are counted before rows are: a place in round n is the number of
+    groups up to this one that have n rows.  A round is dealt out by ranges of
+    groups and the ranges' counts summed, so the first round, which all groups have, is not one task's.
+    """
     turn = rows.withColumn("round", F.row_number().over(Window.partitionBy(group).orderBy(order)))
-    return turn.withColumn("place", F.row_number().over(Window.partitionBy("round").orderBy(group)))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    turn = turn.repartitionByRange(parts, group).withColumn("__part", F.spark_partition_id())
+    within = F.row_number().over(Window.partitionBy("__part", "round").orderBy(group))
+    before = Window.partitionBy("__round").orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)
+    counts = turn.groupBy(F.col("round").alias("__round"), F.col("__part").alias("__of")).agg(F.count("*").alias("__n"))
+    counts = counts.select("__round", "__of", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    placed = turn.withColumn("__within", within).join(counts, (F.col("round") == F.col("__round")) & (F.col("__part") == F.col("__of")))
+    return placed.withColumn("place", F.col("__offset") + F.col("__within")).drop("__part", "__round", "__of", "__n", "__offset", "__within")
+
+
+def ordered_union(tables: list[DataFrame], order: str) -> DataFrame:
+    """All rows of the tables, with ``seq`` = (place of the table, ``order`` in it): a fold by it takes the tables one after the other."""
+    parts = [t.withColumn("seq", F.struct(F.lit(i).alias("table"), F.col(order).alias("place"))) for i, t in enumerate(tables)]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
 
 
 def seeded_order(rows: DataFrame, key: str, seed: str) -> DataFrame:
-    """A shuffle that the seed settles."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
+    """A shuffle that the seed settles: by the MD5 of key and seed, then by key."""
+    return rows.orderBy(F.md5(F.concat(F.col(key), F.lit(seed))), key)

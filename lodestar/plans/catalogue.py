@@ -67,7 +67,7 @@ def topic_slug(spark, t):
       ELSE array_to_string(list_concat(list_append(rest, 'guide=1'), CASE WHEN n > 1 THEN ['page=2'] ELSE [] END), '&') END || frag AS listing_url FROM r"""
 )
 def url_listing(spark, t):
-    pages = t("pages").crossJoin(F.broadcast(spark.createDataFrame([(1,), (2,)], "n int")))
+    pages = t("pages").withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
     return pages.select("page_id", "n", U.listing_url(F.col("url"), F.col("n")).alias("listing_url"))
 
 
@@ -163,10 +163,11 @@ def page_quality(spark, t):
 )
 def host_digest(spark, t):
     """Flagship: the newest page of each canonical URL, its article's words and reading time, by host."""
-    newest = Window.partitionBy("canonical_url").orderBy(F.desc("page_id"))
     pages = t("pages").withColumn("canonical_url", U.canonical_url(F.col("url")))
-    keep = pages.select("page_id", "canonical_url", F.row_number().over(newest).alias("n")).where("n = 1").select("page_id", "canonical_url")
-    texts = article_text(pages.select("page_id", "url", "html").join(keep, "page_id"), keep=["canonical_url"])
+    keep = pages.groupBy("canonical_url").agg(F.max("page_id").alias("newest")).select("newest")
+    # Ids alone are shuffled; pages are parsed where they are read.
+    newest = pages.select("page_id", "url", "html", "canonical_url").join(keep, F.col("page_id") == F.col("newest"), "left_semi")
+    texts = article_text(newest, keep=["canonical_url"])
     words = texts.select(U.host(F.col("canonical_url")).alias("host"), T.word_count(F.col("combined_text")).alias("w"), "combined_text")
     return words.groupBy("host").agg(
         F.count("*").alias("n_pages"), F.sum("w").alias("n_words"), F.sum(T.reading_minutes(F.col("w"))).alias("minutes"), F.count_distinct("combined_text").alias("n_texts")
@@ -231,14 +232,14 @@ def doc_exact_dedup(spark, t):
     return d.groupBy("content_hash").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"))
 
 
-VERSION_EVENTS = """(SELECT source AS k, doc_id AS seq, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN '' ELSE sha256(text[1:1]) END AS h, CASE WHEN doc_id % 5 <> 0 THEN lang END AS tp FROM documents)"""
+VERSION_EVENTS = """(SELECT source AS k, doc_id AS seq, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN '' ELSE sha256(text) END AS h, CASE WHEN doc_id % 5 <> 0 THEN lang END AS tp FROM documents)"""
 VERSIONS = f"""(SELECT k, seq, h, tp, rn, coalesce(rn > 1 AND nullif(h, '') IS NOT NULL AND nullif(h, '') IS DISTINCT FROM p, false) AS upd FROM (SELECT *,
   row_number() OVER (PARTITION BY k ORDER BY seq) AS rn, last_value(nullif(h, '') IGNORE NULLS) OVER (PARTITION BY k ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM {VERSION_EVENTS}))"""
 
 
 def version_events(t):
     d = t("documents")
-    content = F.when(d.doc_id % 7 == 0, F.lit(None)).when(d.doc_id % 11 == 0, "").otherwise(F.sha2(F.substr(d.text, F.lit(1), F.lit(1)), 256))
+    content = F.when(d.doc_id % 7 == 0, F.lit(None)).when(d.doc_id % 11 == 0, "").otherwise(F.sha2(d.text, 256))
     return d.select(F.col("source").alias("key"), F.col("doc_id").alias("seq"), content.alias("content_hash"), F.when(d.doc_id % 5 != 0, d.lang).alias("primary_topic"))
 
 
@@ -252,8 +253,9 @@ def doc_versions(spark, t):
 
 
 @query(
-    f"""SELECT key, max(version) AS version, arg_max(h, seq) FILTER (WHERE coalesce(h, '') <> '') AS content_hash FROM (
-    SELECT k AS key, seq, h, (1 + sum(upd::INT) OVER (PARTITION BY k ORDER BY seq ROWS UNBOUNDED PRECEDING))::INT AS version FROM {VERSIONS}) GROUP BY key"""
+    f"""SELECT key, max(version) AS version, arg_max(h, seq) FILTER (WHERE coalesce(h, '') <> '') AS content_hash, first(topic ORDER BY seq DESC) AS primary_topic FROM (
+    SELECT *, last_value(tp IGNORE NULLS) OVER (PARTITION BY key, version ORDER BY seq ROWS UNBOUNDED PRECEDING) AS topic FROM (
+    SELECT k AS key, seq, h, tp, (1 + sum(upd::INT) OVER (PARTITION BY k ORDER BY seq ROWS UNBOUNDED PRECEDING))::INT AS version FROM {VERSIONS})) GROUP BY key"""
 )
 def state_upsert(spark, t):
     """The first half of the events makes the state, the second half is upserted into it."""
@@ -261,10 +263,10 @@ def state_upsert(spark, t):
     half = F.col("seq") < 500
     empty = spark.createDataFrame([], "key string, content_hash string, primary_topic string, version int")
     state = folds.upsert(empty, events.where(half), "key", "seq")
-    return folds.upsert(state, events.where(~half), "key", "seq").select("key", "version", "content_hash")
+    return folds.upsert(state, events.where(~half), "key", "seq").select("key", "version", "content_hash", "primary_topic")
 
 
-MERGE = """(SELECT sha256(text[1:12]) AS k, doc_id AS seq, CASE WHEN doc_id % 4 > 0 THEN doc_id % 3 END AS version, quality = 1 AS upd, CASE WHEN doc_id % 6 > 0 THEN (doc_id * 37) % 100 END AS seen
+MERGE = """(SELECT sha256(text) AS k, doc_id AS seq, CASE WHEN doc_id % 4 > 0 THEN doc_id % 3 END AS version, quality = 1 AS upd, CASE WHEN doc_id % 6 > 0 THEN (doc_id * 37) % 100 END AS seen
   FROM documents LEFT JOIN labels USING (doc_id))"""
 
 
@@ -277,7 +279,7 @@ MERGE = """(SELECT sha256(text[1:12]) AS k, doc_id AS seq, CASE WHEN doc_id % 4
 def merge_precedence(spark, t):
     d = t("documents").join(t("labels"), "doc_id", "left")
     records = d.select(
-        F.sha2(F.substr("text", F.lit(1), F.lit(12)), 256).alias("canonical_url"),
+        F.sha2("text", 256).alias("canonical_url"),
         F.col("doc_id").alias("seq"),
         F.when(F.col("doc_id") % 4 > 0, F.col("doc_id") % 3).alias("version"),
         (F.col("quality") == 1).alias("is_updated"),
@@ -312,11 +314,11 @@ def key_union(spark, t):
     return every.select(F.sha2("text", 256).alias("k")).distinct()
 
 
-@query("SELECT doc_id, text AS title, source AS canonical_url FROM documents WHERE coalesce(text, '') <> '' AND coalesce(source, '') <> '' AND doc_id % 3 = 0")
+@query("SELECT doc_id, text AS title, source AS canonical_url FROM documents WHERE coalesce(text, '') <> '' AND coalesce(source, '') <> ''")
 def valid_items(spark, t):
     from lodestar.sources.jsonl import valid
 
-    d = t("documents").where("doc_id % 3 = 0").select("doc_id", F.col("text").alias("title"), F.col("source").alias("canonical_url"))
+    d = t("documents").select("doc_id", F.col("text").alias("title"), F.col("source").alias("canonical_url"))
     return valid(d)
 
 
@@ -384,9 +386,37 @@ def round_robin(spark, t):
     return sets.round_robin(t("conversations").select("conv_id", "turn"), "conv_id", "turn").withColumns(long("round", "place"))
 
 
-@query(None)
+@query("SELECT n_nationkey, n_name, row_number() OVER (ORDER BY md5(n_name || '7'), n_name) - 1 AS place FROM nation")
 def seeded_shuffle(spark, t):
-    return sets.seeded_order(t("nation").select("n_nationkey", "n_name"), "n_name", "7")
+    """The rows in their order; the place is that of the partitions laid end to end."""
+    shuffled = sets.seeded_order(t("nation").select("n_nationkey", "n_name"), "n_name", "7")
+    return shuffled.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+@query(
+    """SELECT 0 AS table_no, n_nationkey AS place, n_name AS name, row_number() OVER (ORDER BY n_nationkey) AS seq FROM nation
+    UNION ALL SELECT 1, r_regionkey, r_name, (SELECT count(*) FROM nation) + row_number() OVER (ORDER BY r_regionkey) FROM region"""
+)
+def ordered_union(spark, t):
+    """Two tables one after the other, numbered in that order."""
+    n, r = t("nation").select(F.col("n_nationkey").alias("place"), F.col("n_name").alias("name")), t("region").select(F.col("r_regionkey").alias("place"), F.col("r_name").alias("name"))
+    both = sets.ordered_union([n, r], "place")
+    return both.select(F.col("seq.table").alias("table_no"), "place", "name", F.row_number().over(Window.orderBy("seq")).cast("long").alias("seq"))
+
+
+@query("SELECT count(*) AS n_items, count_if(coalesce(quality, 0) = 0)::BIGINT AS n_dropped FROM documents LEFT JOIN labels USING (doc_id)")
+def dropped_items(spark, t):
+    """Documents as items whose title is there only where they are labelled good."""
+    from lodestar.sources.jsonl import drop_report
+
+    d = t("documents").join(t("labels"), "doc_id", "left")
+    return drop_report(d.select(F.lit("u").alias("canonical_url"), F.when(F.col("quality") != 0, "title").alias("title")))
+
+
+@query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS n FROM events) WHERE n <= 2")
+def topic_page_cap(spark, t):
+    """Of each topic and kind of page the first two."""
+    return sets.top_n(t("events"), ["user_id", "event_type"], ["event_id"], 2).select("user_id", "event_id")
 
 
 # --- request log --------------------------------------------------------------------------------
@@ -396,12 +426,10 @@ def errors(t):
     return t("events").where("event_type = 'error'").select("event_id", "ts", "user_id", "value")
 
 
-@query(
-    """SELECT user_id, event_id, ((row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 3)::BIGINT AS batch FROM events WHERE event_type = 'error'"""
-)
+@query("SELECT event_id, ((row_number() OVER (ORDER BY epoch_us(ts) + event_id % 7 * 60000000, event_id) - 1) // 3)::BIGINT AS tick FROM events WHERE event_type = 'error'")
 def release_batches(spark, t):
-    n = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return errors(t).select("user_id", "event_id", F.floor((n - 1) / 3).cast("long").alias("batch"))
+    ready = F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 7 * 60_000_000
+    return logstats.release_order(errors(t).select("event_id", ready.alias("ready")), "ready", "event_id").select("event_id", "tick")
 
 
 @query("SELECT user_id, event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 12 HOURS PRECEDING AND CURRENT ROW) AS n_recent FROM events WHERE event_type = 'error'")
@@ -409,9 +437,16 @@ def storm_counts(spark, t):
     return logstats.trailing_count(errors(t), "ts", 12 * 3600, ["user_id"]).select("user_id", "event_id", "n_recent")
 
 
-@query("SELECT event_id, least(300.0, CASE WHEN event_id % 2 = 0 THEN 5 ELSE 2 END * pow(2, event_id % 9))::DOUBLE AS delay FROM events")
+@query(
+    """WITH b AS (SELECT event_id, least(300.0, CASE WHEN event_id % 2 = 0 THEN 5 ELSE 2 END * pow(2, event_id % 9))::DOUBLE * (0.75::DOUBLE + (event_id % 51)::DOUBLE / 100::DOUBLE) AS delay FROM events),
+    r AS (SELECT event_id, CASE WHEN event_id % 17 = 0 AND (event_id % 400)::DOUBLE > delay THEN (event_id % 400)::DOUBLE + 2 ELSE delay END AS delay FROM b)
+    SELECT event_id, CASE WHEN event_id % 23 = 0 AND 90::DOUBLE > delay THEN 92::DOUBLE ELSE delay END AS delay FROM r"""
+)
 def backoff_delay(spark, t):
-    return t("events").select("event_id", logstats.backoff(F.col("event_id") % 9, F.col("event_id") % 2 == 0).alias("delay"))
+    e = F.col("event_id")
+    jitter = F.lit(0.75) + (e % 51).cast("double") / 100.0
+    header, held = F.when(e % 17 == 0, (e % 400).cast("double")), F.when(e % 23 == 0, 90.0)
+    return t("events").select("event_id", logstats.backoff(e % 9, e % 2 == 0, jitter=jitter, retry_after=header, throttled=held).alias("delay"))
 
 
 @query(
@@ -494,7 +529,7 @@ def crawl_counters(spark, t):
     """WITH RECURSIVE a AS (SELECT user_id, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
     f AS (SELECT user_id, n, us, CASE WHEN least(12.0::DOUBLE, 8.4::DOUBLE) >= 1 THEN 8.4::DOUBLE - 1 ELSE 8.4::DOUBLE END AS have, 1::BIGINT AS yes FROM a WHERE n = 1
       UNION ALL SELECT a.user_id, a.n, a.us, CASE WHEN x >= 1 THEN x - 1 ELSE x END, f.yes + CASE WHEN x >= 1 THEN 1 ELSE 0 END
-      FROM (SELECT f.*, least(12.0::DOUBLE, f.have + 0.00001::DOUBLE * ((b.us - f.us) / 1000000.0::DOUBLE)) AS x FROM f JOIN a b ON b.user_id = f.user_id AND b.n = f.n + 1) f JOIN a ON a.user_id = f.user_id AND a.n = f.n + 1)
+      FROM (SELECT f.*, least(12.0::DOUBLE, f.have + 0.00001::DOUBLE * (greatest(0, b.us - f.us) / 1000000.0::DOUBLE)) AS x FROM f JOIN a b ON b.user_id = f.user_id AND b.n = f.n + 1) f JOIN a ON a.user_id = f.user_id AND a.n = f.n + 1)
     SELECT user_id, max(yes) AS admitted, max(n) - max(yes) AS delayed FROM f GROUP BY user_id"""
 )
 def token_bucket(spark, t):
@@ -502,25 +537,96 @@ def token_bucket(spark, t):
     return logstats.token_bucket(e, "user_id", "event_id", "us", per_second=0.00001)
 
 
-@query(None)
+@query(
+    """WITH RECURSIVE h AS (SELECT user_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts)) AS n FROM events WHERE event_type = 'error'),
+    f AS (SELECT user_id, n, t, true AS is_on, t + 7500000000 AS till, 0 AS ext, 1 AS level, [t] AS hits, 1::BIGINT AS storms, 0::BIGINT AS total, 1.2::DOUBLE AS refill FROM h WHERE n = 1
+      UNION ALL SELECT user_id, n, t, is_on OR starts, CASE WHEN starts THEN t + CASE WHEN len(hits) = 1 THEN 7500000000 ELSE 6750000000 END WHEN extends THEN till + 2000000000 ELSE till END,
+        CASE WHEN extends THEN ext + 1 ELSE ext END, CASE WHEN starts THEN 1 WHEN extends THEN least(8, level + 1) ELSE level END, hits,
+        storms + CASE WHEN starts THEN 1 ELSE 0 END, total + CASE WHEN extends THEN 1 ELSE 0 END, CASE WHEN extends THEN greatest(1.2::DOUBLE * 0.2::DOUBLE, refill * 0.85::DOUBLE) ELSE refill END
+      FROM (SELECT *, NOT is_on AND (len(hits) = 1 OR len(hits) >= 5) AS starts, is_on AND ext < 6 AS extends FROM (
+        SELECT f.user_id, b.n, b.t, f.is_on AND b.t < f.till AS is_on, f.till, CASE WHEN f.is_on AND b.t >= f.till THEN 0 ELSE f.ext END AS ext, CASE WHEN f.is_on AND b.t >= f.till THEN 0 ELSE f.level END AS level,
+          list_filter(list_append(f.hits, b.t), lambda x: x >= b.t - 43200000000 AND NOT (f.is_on AND b.t >= f.till AND x <= b.t - 3600000000)) AS hits, f.storms, f.total, f.refill
+        FROM f JOIN h b ON b.user_id = f.user_id AND b.n = f.n + 1)))
+    SELECT user_id, storms, total AS extensions, till AS calm_us, level, refill FROM f QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC) = 1"""
+)
 def storm_machine(spark, t):
+    """The 429 machine on a scale at which the events' hits make storms: hours for minutes."""
     e = errors(t).select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
-    return logstats.storm_machine(e, "user_id", "us", window_s=43200, first_cool=7500, cool=6750, extend=2000)
+    return logstats.storm_machine(e, "user_id", "us", window_s=43200, calm_s=3600, first_cool=7500, cool=6750, extend=2000)
 
 
-@query(None)
+@query(
+    """WITH RECURSIVE d AS (SELECT user_id, min(date_trunc('day', ts)) AS a, max(date_trunc('day', ts)) AS b FROM events GROUP BY user_id),
+    e AS (SELECT user_id, date_trunc('day', ts) AS w, count_if(event_type = 'error') AS hits FROM events GROUP BY ALL),
+    w AS (SELECT x.user_id, row_number() OVER (PARTITION BY x.user_id ORDER BY day) AS n, coalesce(hits, 0) AS hits FROM (SELECT user_id, unnest(generate_series(a, b, INTERVAL 1 DAY)) AS day FROM d) x LEFT JOIN e ON e.user_id = x.user_id AND e.w = x.day),
+    f AS (SELECT user_id, 0::BIGINT AS n, 0.8::DOUBLE AS g, 1.0::DOUBLE AS d, 0.6::DOUBLE AS r, 0 AS clean FROM d
+      UNION ALL SELECT f.user_id, w.n, CASE WHEN hits > 0 THEN least(15::DOUBLE, g * pow(1.2::DOUBLE, hits)) WHEN clean >= 1 THEN greatest(0.3::DOUBLE, g * 0.9::DOUBLE) ELSE g END,
+        CASE WHEN hits > 0 THEN least(5::DOUBLE, d * pow(1.25::DOUBLE, hits)) WHEN clean >= 1 THEN greatest(0.5::DOUBLE, d * 0.9::DOUBLE) ELSE d END,
+        CASE WHEN hits = 0 AND clean >= 1 AND r < 1.2::DOUBLE THEN least(1.2::DOUBLE, r * 1.15::DOUBLE) ELSE r END,
+        CASE WHEN hits > 0 THEN 0 WHEN clean >= 1 AND floor(g * 100) <> floor(greatest(0.3::DOUBLE, g * 0.9::DOUBLE) * 100) THEN 0 ELSE clean + 1 END
+      FROM f JOIN w ON w.user_id = f.user_id AND w.n = f.n + 1)
+    SELECT user_id, round(g, 6) AS global_gap, round(d, 6) AS guide_gap, round(r, 6) AS refill FROM f QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC) = 1"""
+)
 def adaptive_pacing(spark, t):
-    hours = t("events").groupBy("user_id", F.window("ts", "1 day").start.alias("w")).agg(F.count_if(F.col("event_type") == "error").alias("hits"))
-    return logstats.pacing(hours, "user_id", "w", "hits")
+    """Each user's days as summary windows, days without events included."""
+    day = F.date_trunc("day", F.col("ts")).cast("timestamp")
+    days = t("events").groupBy("user_id", day.alias("w")).agg(F.count_if(F.col("event_type") == "error").alias("hits"))
+    every = days.groupBy("user_id").agg(F.explode(F.sequence(F.min("w"), F.max("w"), F.expr("interval 1 day"))).alias("w"))
+    dense = every.join(days, ["user_id", "w"], "left").select("user_id", "w", F.coalesce("hits", F.lit(0)).alias("hits"))
+    paced = logstats.pacing(dense, "user_id", "w", "hits", refill=0.6)
+    return paced.select("user_id", *[F.round(c, 6).alias(c) for c in ("global_gap", "guide_gap", "refill")])
 
 
 @query(
-    """SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'global_gap' WHEN event_id % 11 = 0 THEN 'guide_gap' WHEN event_id % 7 = 0 THEN 'throttle' WHEN event_id % 5 = 0 THEN 'storm'
-    WHEN event_id % 3 = 0 THEN 'in_flight' ELSE 'admitted' END AS gate FROM events"""
+    """WITH RECURSIVE a AS (SELECT user_id, epoch_us(ts) AS t, event_id, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts), event_id) AS n,
+      CASE WHEN event_id % 7 = 0 THEN epoch_us(ts) + 1 ELSE 0 END AS throttle_us, event_id % 11 = 0 AS storm, event_id % 9 AS in_flight FROM events),
+    f AS (SELECT user_id, 0::BIGINT AS n, -1152921504606846976::BIGINT AS any_at, -1152921504606846976::BIGINT AS guide_at, -1 AS gate FROM a WHERE n = 1
+      UNION ALL SELECT user_id, n, CASE WHEN gate IN (0, 5) THEN t ELSE any_at END, CASE WHEN gate IN (0, 5) THEN t WHEN gate = 2 THEN guide_at + 10200000000 ELSE guide_at END, gate
+      FROM (SELECT f.user_id, a.n, a.t, any_at, guide_at, CASE WHEN any_at + 3600000000 > a.t THEN 1 WHEN guide_at + 10000000000 > a.t THEN 2 WHEN a.t < throttle_us THEN 3 WHEN storm THEN 4 WHEN in_flight >= 6 THEN 5 ELSE 0 END AS gate
+        FROM f JOIN a ON a.user_id = f.user_id AND a.n = f.n + 1))
+    SELECT user_id, count_if(gate = 0)::BIGINT AS admitted, count_if(gate = 1)::BIGINT AS global_gap, count_if(gate = 2)::BIGINT AS guide_gap, count_if(gate = 3)::BIGINT AS throttle,
+      count_if(gate = 4)::BIGINT AS storm, count_if(gate = 5)::BIGINT AS in_flight FROM f GROUP BY user_id"""
 )
 def admission_gate(spark, t):
-    is_ = lambda k: F.col("event_id") % k == 0
-    return logstats.admission(t("events").select("event_id"), "event_id", is_(13), is_(11), is_(7), is_(5), is_(3))
+    e, us = t("events"), F.unix_micros(F.col("ts").cast("timestamp"))
+    arrivals = e.select(
+        "user_id", us.alias("us"), "event_id", F.when(e.event_id % 7 == 0, us + 1).otherwise(0).alias("throttle_us"), (e.event_id % 11 == 0).alias("storm"), (e.event_id % 9).alias("in_flight")
+    )
+    # By time, then by id.
+    return logstats.admission(arrivals.withColumn("order", F.struct("us", "event_id")), "user_id", "order", "us", global_gap=3600, guide_gap=10_000, jitter=200)
+
+
+@query(
+    """WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 24 HOURS THEN 1 ELSE 0 END AS brk FROM events WHERE event_type = 'error'),
+    i AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM g),
+    k AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id, island ORDER BY ts, event_id) AS streak, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 3 DAYS PRECEDING AND CURRENT ROW) AS n_recent FROM i)
+    SELECT user_id, event_id, streak, n_recent, CASE WHEN n_recent >= 3 THEN 300.0 ELSE 120.0 END::DOUBLE AS cool, round(least(15.0, 0.3::DOUBLE * pow(1.5::DOUBLE, least(streak, 6))), 6)::DOUBLE AS global_target,
+      round(least(6.0, 0.5::DOUBLE * pow(1.6::DOUBLE, least(streak, 6))), 6)::DOUBLE AS guide_target FROM k"""
+)
+def captcha_cooloff(spark, t):
+    c = logstats.captcha(errors(t), "user_id", "ts", gap_s=24 * 3600, window_s=3 * 24 * 3600)
+    return c.select(
+        "user_id", "event_id", F.col("streak").cast("long").alias("streak"), "n_recent", "cool", F.round("global_target", 6).alias("global_target"), F.round("guide_target", 6).alias("guide_target")
+    )
+
+
+PACES = """(WITH v AS (SELECT user_id, ts, event_id, round(value)::BIGINT AS c FROM events),
+    w AS (SELECT user_id, ts, event_id, count(c) OVER f AS n, (sum(c) OVER f)::BIGINT AS total, list(c) OVER f AS l FROM v WINDOW f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)),
+    p AS (SELECT *, list_sort(l)[floor(0.9::DOUBLE * (n - 1))::INT + 1] AS p90 FROM w)
+    SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, CASE WHEN n < 5 THEN 'none' WHEN total > 300 * n OR p90 > 500 THEN 'slow' WHEN total < 120 * n THEN 'fast' ELSE 'steady' END AS pace FROM p)"""
+
+
+@query(
+    f"""WITH RECURSIVE p AS (SELECT * FROM {PACES}),
+    f AS (SELECT DISTINCT user_id, 0::BIGINT AS n, 1.2::DOUBLE AS r, 0.8::DOUBLE AS g FROM p
+      UNION ALL SELECT f.user_id, p.n, CASE pace WHEN 'slow' THEN greatest(0.4::DOUBLE, r * 0.9::DOUBLE) WHEN 'fast' THEN least(3::DOUBLE, r * 1.05::DOUBLE) ELSE r END,
+        CASE pace WHEN 'slow' THEN least(15::DOUBLE, g * 1.1::DOUBLE) WHEN 'fast' THEN greatest(0.3::DOUBLE, g * 0.95::DOUBLE) ELSE g END FROM f JOIN p ON p.user_id = f.user_id AND p.n = f.n + 1)
+    SELECT user_id, round(r, 6) AS refill, round(g, 6) AS global_gap FROM f QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC) = 1"""
+)
+def latency_adaptation(spark, t):
+    e = t("events").select("user_id", "event_id", "ts", F.round("value").cast("long").alias("cents"))
+    paced = logstats.rolling_latency(e, "user_id", ["ts", "event_id"], "cents")
+    return logstats.latency_pacing(paced, "user_id", ["ts", "event_id"]).select("user_id", F.round("refill", 6).alias("refill"), F.round("global_gap", 6).alias("global_gap"))
 
 
 @query("""SELECT event_id, '{"event":"' || event_type || '","spider":"lodestar","ts":' || (epoch_us(ts) // 1000000)::VARCHAR || '}' AS line FROM events""")

@@ -6,33 +6,9 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from lodestar.operators.folds import merge_summary
-from lodestar.sources.jsonl import merge_snapshots, read_jsonl
-
-#: The fields that decide; others are read by a wider schema given to ``merge_snapshots``.
-SCHEMA = StructType(
-    [
-        StructField("canonical_url", StringType()),
-        StructField("title", StringType()),
-        StructField("combined_text", StringType()),
-        StructField("version", IntegerType()),
-        StructField("is_updated", BooleanType()),
-        StructField("last_seen", StringType()),
-    ]
-)
-
-
-def expand(spark: SparkSession, patterns: list[str]) -> list[str]:
-    """Files that the patterns match, each once, in the order of the patterns and by name within one."""
-    found: dict[str, None] = {}
-    for pattern in patterns:
-        path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-        matched = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-        for name in sorted(s.getPath().toString() for s in matched if s.isFile()):
-            found.setdefault(name)
-    return list(found)
+from lodestar.sources.jsonl import DECIDING, expand, line_report, merge_snapshots, read_jsonl, read_lines
 
 
 def main(args: list[str], spark: SparkSession | None = None) -> int:
@@ -45,8 +21,11 @@ def main(args: list[str], spark: SparkSession | None = None) -> int:
     if not paths:
         print("no input files", file=sys.stderr)
         return 1
-    merge_snapshots(spark, paths, SCHEMA, given.output)
-    summary = merge_summary(read_jsonl(spark, paths, SCHEMA), "canonical_url").first()
+    merge_snapshots(spark, paths, given.output)
+    bad = line_report(read_lines(spark, paths), DECIDING).first()["n_bad"]
+    if bad:
+        print(f"{bad} lines could not be read", file=sys.stderr)
+    summary = merge_summary(read_jsonl(spark, paths, DECIDING), "canonical_url").first()
     print(f"{summary['total']} read, {summary['unique_keys']} kept")
     return 0
 

@@ -5,7 +5,7 @@ from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField,
 
 from lodestar.functions.text import parse_timestamp, retry_after, word_count
 from lodestar.functions.url import canonical_url, enforce_listing, listing_url, topic_slug, with_params
-from lodestar.sources.jsonl import add_missing, append_items, free_path, known_keys, merge_snapshots, read_jsonl, read_seeds
+from lodestar.sources.jsonl import add_missing, append_items, free_path, known_keys, line_report, merge_snapshots, read_jsonl, read_lines, read_seeds
 
 SCHEMA = StructType(
     [StructField("canonical_url", StringType()), StructField("version", IntegerType()), StructField("is_updated", BooleanType()), StructField("last_seen", StringType())]
@@ -18,9 +18,13 @@ def test_jsonl(spark, tmp_path):
     files = [str(tmp_path / "*.jsonl")]
     assert read_jsonl(spark, files, SCHEMA).count() == 5
     assert sorted(r[0] for r in known_keys(spark, files).collect()) == ["https://x/1", "https://x/2"]
-    out = merge_snapshots(spark, files, SCHEMA, str(tmp_path / "out"))
-    assert sorted((r["canonical_url"], r["version"], r["last_seen"]) for r in out.collect()) == [("https://x/1/", 2, None), ("https://x/2", None, "2024-02-01T00:00:00Z")]
-    assert free_path(spark, str(tmp_path / "out")) != str(tmp_path / "out")
+    out = merge_snapshots(spark, files, str(tmp_path / "out.jsonl"))
+    want = ['{"canonical_url":"https://x/1/","version":2}', '{"canonical_url":"https://x/2","last_seen":"2024-02-01T00:00:00Z"}']
+    assert sorted(r["value"] for r in out.collect()) == want
+    stamped = free_path(spark, str(tmp_path / "out.jsonl"))
+    assert stamped.endswith(".jsonl") and stamped.startswith(str(tmp_path / "out-"))
+    assert read_jsonl(spark, [str(tmp_path / "nowhere.jsonl")], SCHEMA).count() == 0
+    assert tuple(line_report(read_lines(spark, files), SCHEMA).first()) == (7, 1, 1)
     (tmp_path / "seeds.json").write_text('["https://s/1",\n "https://s/2"]')
     assert [r["url"] for r in read_seeds(spark, str(tmp_path / "seeds.json")).orderBy("pos").collect()] == ["https://s/1", "https://s/2"]
 
@@ -65,4 +69,10 @@ def test_merge_command(spark, tmp_path, capsys):
     (tmp_path / "a.jsonl").write_text('{"canonical_url":"https://x/1","version":1}\n{"version":1}\n')
     assert main(["--inputs", str(tmp_path / "*.jsonl"), "--output", str(tmp_path / "m")], spark) == 0
     assert "2 read, 1 kept" in capsys.readouterr().out
+    (tmp_path / "z b.jsonl").write_text('{"canonical_url":"https://x/9","version":1,"authors":[{"name":"Z"}],"n":1}\n{"canonical_url":"https://x/8"}\n')
+    (tmp_path / "c.jsonl").write_text('{"canonical_url":"https://x/8","version":0}\n{"canonical_url":"https://x/9","version":1,"authors":[{"name":"C"}]}\n{"canonical_url":"https://x/7"}\n')
+    assert main(["--inputs", str(tmp_path / "z b.jsonl"), str(tmp_path / "c.jsonl"), str(tmp_path / "[cz]*.jsonl"), "--output", str(tmp_path / "whole")], spark) == 0
+    lines = [x for f in sorted((tmp_path / "whole").glob("part-*")) for x in f.read_text().splitlines()]
+    # Whole records, the tie to the first file given though its name is later, in the order in which keys were met.
+    assert lines == ['{"canonical_url":"https://x/9","version":1,"authors":[{"name":"Z"}],"n":1}', '{"canonical_url":"https://x/8"}', '{"canonical_url":"https://x/7"}']
     assert main(["--inputs", str(tmp_path / "none*.jsonl"), "--output", str(tmp_path / "m")], spark) == 1
