@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from lodestar.llm.common import fresh, materialise, slim, small_batches
-from lodestar.llm.toxicity import Examples, Features, Model, held_out, labelled_texts, logistic, summed
+from lodestar.llm.toxicity import AT_ONCE, Examples, Features, Model, held_out, labelled_texts, logistic, summed
 from lodestar.llm.toxicity import fit as fit_ftrl
 
 #: Domains of a labelled row.
@@ -98,10 +98,14 @@ def _inputs(models: list[Model]):
     used = dense.any(axis=1)
 
     def of(texts: list[str]) -> tuple[np.ndarray, list[int]]:
-        found = features(texts)
-        scores = 2 * logistic(bias + summed(found, dense, used)) - 1
-        shapes = [shape(t, w) for t, w in zip(texts, found.words, strict=True)]
-        return np.concatenate([np.array(shapes or np.zeros((0, 11))), scores], axis=1), list(map(len, found.words))
+        inputs, n = [np.zeros((0, 11 + len(models)))], []
+        for i in range(0, len(texts), AT_ONCE):
+            part = texts[i : i + AT_ONCE]
+            found = features(part)
+            scores = 2 * logistic(bias + summed(found, dense, used)) - 1
+            inputs.append(np.concatenate([[shape(t, w) for t, w in zip(part, found.words, strict=True)], scores], axis=1))
+            n += map(len, found.words)
+        return np.concatenate(inputs), n
 
     return of
 
@@ -140,7 +144,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4_000, id_col:
         rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
         rows.sort(key=lambda r: (xxhash.xxh3_64_intdigest(str(r[0])), r[0], r[1]))
         words = Examples()
-        words.add(features([t for _, t, _ in rows[::2]]).each(), [r[2] for r in rows[::2]])
+        half = rows[::2]
+        for i in range(0, len(half), AT_ONCE):
+            words.add(features([t for _, t, _ in half[i : i + AT_ONCE]]).each(), [r[2] for r in half[i : i + AT_ONCE]])
         out = []
         if rows:
             models = [

@@ -435,7 +435,7 @@ def _answers(docs: DataFrame, similarity: Similarity, count: bool) -> tuple[Data
     """
     small_batches(docs.sparkSession)
     profile = materialise(_profile(docs, similarity), "jaccard-profile")
-    rows = profile.where("kind = 0").select("doc_id", "text_key", F.col("n").alias("n_shingles"), "sid")
+    rows = materialise(profile.where("kind = 0").select("doc_id", "text_key", F.col("n").alias("n_shingles"), "sid"), "jaccard-rows")
     by_id = F.coalesce("doc_id", F.lit((1 << 63) - 1))  # ids before null
     sets = rows.where("sid is not null").groupBy("sid").agg(
         F.first("n_shingles").alias("n"), F.count("*").alias("copies"), F.min("doc_id").alias("least_id"), F.min_by("text_key", by_id).alias("first_text")
@@ -443,6 +443,7 @@ def _answers(docs: DataFrame, similarity: Similarity, count: bool) -> tuple[Data
     sets = materialise(sets, "jaccard-sets")
     owners = sets.select("sid", F.col("least_id").alias("owner_id"), F.col("first_text").alias("owner_text"))
     index = _index(profile, docs, similarity)
+    drop_written(profile)
 
     # First answers: every entry against its list's pivot.
     pivots = index.groupBy("token").agg(F.min(F.struct("pos", "sid", "n")).alias("p"), F.count("*").alias("in_list"))

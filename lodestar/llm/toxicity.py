@@ -25,6 +25,10 @@ _ENDS = np.zeros(256, bool)
 _ENDS[[c for c in range(33, 127) if not chr(c).isalnum()]] = True  # what is stripped from a word's ends
 
 
+#: Texts that are cut into words at once, so the lists of words stay small.
+AT_ONCE = 100
+
+
 @dataclass
 class Found:
     """Features of a list of texts: indices, the text of each, and the words of the texts."""
@@ -105,7 +109,12 @@ class Model:
         """A function from a list of texts to their scores."""
         features, dense = Features(self.bits), self.dense()[:, None]
         used = dense[:, 0] != 0
-        return lambda texts: logistic(self.bias + summed(features(texts), dense, used)[:, 0])
+
+        def score(texts: list[str]) -> np.ndarray:
+            z = [summed(features(texts[i : i + AT_ONCE]), dense, used)[:, 0] for i in range(0, len(texts), AT_ONCE)]
+            return logistic(self.bias + np.concatenate([np.zeros(0), *z]))
+
+        return score
 
 
 class Examples:
@@ -209,7 +218,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, id_col:
         for batch in batches:
             ids, texts, ys = (batch.column(i).to_pylist() for i in range(3))
             keys += [(zlib.crc32(str(i).encode()), i, zlib.crc32(t.encode("utf-8", "surrogatepass"))) for i, t in zip(ids, texts, strict=True)]
-            found.add(features(texts).each(), list(map(int, ys)))
+            for i in range(0, len(texts), AT_ONCE):
+                found.add(features(texts[i : i + AT_ONCE]).each(), list(map(int, ys[i : i + AT_ONCE])))
         found = found.arrange(sorted(range(len(keys)), key=keys.__getitem__))  # the same order however the rows came
         model = fit(found) if keys else Model()
         yield pa.RecordBatch.from_arrays(

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Bytes of text that are hashed at once; a longer text is hashed alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15
 
