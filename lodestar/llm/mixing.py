@@ -281,7 +281,7 @@ def fit_rates(
         tried = rates.tried()
         got = sums(rates.ahead(soft, names[0], direction), [c for row in tried for c in row])
         misses = got.reshape(len(TRIED), -1) / total - goal
-        best = int((misses**2).sum(axis=1).argmin())
+        best = int(np.round((misses**2).sum(axis=1), 12).argmin())  # rounded: sums of another order are to choose alike
         if (misses[best] ** 2).sum() > 0.9995 * (miss**2).sum():
             break
         length, momentum = TRIED[best]
