@@ -9,9 +9,11 @@ columns or the ids of some documents alone.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain, islice
 
@@ -38,8 +40,12 @@ FILE_SCHEMA = T.StructType(
 MEMO_CHUNKS = 300_000
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: A word with signs after it, up to letters for which all Unicode versions agree.
-_WORD_AND_SIGNS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?)]*)")
+#: Letters for which all Unicode versions agree, signs that no contraction or special token holds, and one line's end: a piece each.
+_LETTERS, _SIGNS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+", r"""[!"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]+"""
+_WORD_AND_SIGNS = re.compile(f"({_LETTERS})({_SIGNS})?")
+_PIECES = re.compile(f"{_LETTERS}|{_SIGNS}|\n")
+#: Chunks that are such pieces alone; a line's end stands between two others, since runs of white space are cut otherwise.
+_PIECEWISE = re.compile(f"(?:{_LETTERS}|{_SIGNS}|(?<=[^\n])\n(?=[^\n]))+")
 
 
 class _Numbers(dict):
@@ -62,13 +68,37 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Letters(dict):
+    """``str.translate`` table from characters to the byte-level letters of their UTF-8 bytes."""
+
+    def __init__(self):
+        super().__init__()
+        self.of_byte = _byte_letters()
+
+    def __missing__(self, char: int) -> str:
+        letters = self[char] = "".join(self.of_byte[b] for b in chr(char).encode())
+        return letters
+
+
+@contextmanager
+def _no_gc():
+    """No search for cycles meanwhile: encoding makes many small lists and no cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 class ChunkEncoder:
     """Encodes texts with a byte-level ``tokenizers`` vocabulary.
 
     Such a vocabulary always begins a new piece at a lone space between two
     non-space characters, so a text is cut there, and each distinct chunk is
-    encoded once per worker by the library: a chunk that is a word, or a word
-    and signs, piece by piece with its model, any other by the whole tokenizer.
+    encoded once per worker by the library: a chunk of words, signs and line
+    ends piece by piece with its model, any other by the whole tokenizer.
     ``by_chunk=False`` encodes whole texts.
     """
 
@@ -83,14 +113,15 @@ class ChunkEncoder:
         self.end = np.array([] if end_id is None else [end_id], np.int32)
         self.by_chunk = by_chunk
         self.memo_chunks = memo_chunks
-        self.letters = _byte_letters()
+        self.letters = _Letters()
         #: Keys: a chunk with a space before it is its string, one at a text's head is a tuple; () is the end id.
         self.numbers = _Numbers({(): 0})
         #: By number, where a chunk's ids start in ``flat`` and how many they are: -1 for a chunk with white space at an end.
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.start, self.length = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
         self._put(0, [self.end])
-        self.signs: dict[str, list[int]] = {"": []}
+        #: Ids of signs and of pieces without a space before them, emptied with the memo.
+        self.pieces: dict[str, list[int]] = {}
 
     def _put(self, first: int, ids: list) -> None:
         lengths = np.array([-1 if x is None else len(x) for x in ids], np.int32)
@@ -113,14 +144,16 @@ class ChunkEncoder:
         return found
 
     def _piece(self, piece: str) -> list[int]:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(letters)]
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(piece.translate(self.letters))]
+        return ids
 
     def _learn(self) -> None:
         new, self.numbers.new = self.numbers.new, []
         first = len(self.numbers) - len(new)
         ids: list = [None] * len(new)
-        others, signed, tokenize = [], [], self.model.tokenize
+        others, composed, tokenize = [], [], self.model.tokenize
         fresh: dict[str, list[int]] = {}
         for i, key in enumerate(new):
             if type(key) is tuple:
@@ -129,20 +162,26 @@ class ChunkEncoder:
             elif key.isascii() and key.isalpha():
                 ids[i] = fresh[key] = [t.id for t in tokenize("\u0120" + key)]
             elif m := _WORD_AND_SIGNS.fullmatch(key):
-                signed.append((i, *m.groups()))
+                composed.append((i, m[1], m[2] and [m[2]]))
+            elif _PIECEWISE.fullmatch(key):
+                word, *rest = _PIECES.findall(key)
+                composed.append((i, word, rest))
             elif key and not key[0].isspace() and not key[-1].isspace():
                 others.append((i, " " + key))
-        for i, word, signs in signed:
-            if signs not in self.signs:
-                self.signs[signs] = self._piece(signs)
+        for i, word, rest in composed:
             x = fresh.get(word)
             if x is None:
                 at = self.numbers.get(word, first)
-                x = fresh[word] = self._piece(" " + word) if at >= first else self.flat[self.start[at] : self.start[at] + self.length[at]].tolist()
-            ids[i] = x + self.signs[signs]
+                x = [t.id for t in tokenize("\u0120" + word.translate(self.letters))] if at >= first else self.flat[self.start[at] : self.start[at] + self.length[at]].tolist()
+                fresh[word] = x
+            for piece in rest or ():
+                x = x + self._piece(piece)
+            ids[i] = x
         for (i, _), x in zip(others, self._encode([c for _, c in others]), strict=True):
             ids[i] = x
         self._put(first, ids)
+        if len(self.pieces) > self.memo_chunks // 4:
+            self.pieces.clear()
 
     def _forget(self) -> None:
         keep = self.memo_chunks * 2 // 3  # the first met are the frequent ones
@@ -167,12 +206,13 @@ class ChunkEncoder:
         offsets = split.offsets.to_numpy().astype(np.int64)
         offsets -= offsets[0]
         coded = split.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         codes = coded.indices.to_numpy()
         numbers = np.fromiter(map(self.numbers.__getitem__, chunks), np.int64, len(chunks))
         at = numbers[codes]
         at[offsets[:-1]] = [self.numbers[(chunks[c],)] for c in codes[offsets[:-1]]]
-        self._learn()
+        with _no_gc():
+            self._learn()
         at = np.insert(at, offsets[1:], 0)
         bounds = offsets + np.arange(len(offsets))
         lengths = self.length[at]
@@ -199,13 +239,14 @@ KEPT["encode_ids"] = encoder_for.cache_clear
 
 
 def is_byte_level(path: str) -> bool:
-    """Whether the vocabulary cuts at lone spaces: byte-level pre-tokenizer, no normaliser."""
+    """Whether the vocabulary cuts at lone spaces: byte-level pre-tokenizer, no normaliser, special tokens in angle brackets."""
     import json
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     pre = spec.get("pre_tokenizer") or {}
-    return spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+    special = all("<" in t["content"] and " " not in t["content"] for t in spec.get("added_tokens") or ())
+    return special and spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
 
 
 def write_tokens(
@@ -236,7 +277,7 @@ def write_tokens(
     def encode_ids(batches):
         encoder = encoder_for(tokenizer_path, end_id, by_chunk, memo_chunks)
         start = 0
-        for batch in (whole.slice(at, 250) for whole in batches for at in range(0, whole.num_rows, 250)):
+        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
             ids, lengths = encoder.encode(batch.column(2))
             ends = np.cumsum(lengths)
             offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))

@@ -106,6 +106,17 @@ def test_empty(spark):
     assert token_counts(empty, WORD).count() == 0 and token_output(empty, BYTE).count() == 0
 
 
+def test_pieces_equal_whole_texts():
+    """Chunks of words, signs and line ends in any order, contractions and special strings among them."""
+    parts = ["a", "Word", "ñandú", "Ǆ", "ʼn", "×", "'s", "'", "<|endoftext|>", "<", "|", "\n", "\n\n", "\r\n", "\t", " ", " ", "  ", ".", ",\n", "***", "%%%", "(", "[]\\^", "`~{}", "12", "ª", "é", "e\u0301", "中", "\x85"]
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(parts, size=rng.integers(0, 12))) for _ in range(6000)]
+    pieces, whole = ChunkEncoder(BYTE, 2, memo_chunks=3000), ChunkEncoder(BYTE, 2, by_chunk=False)
+    for i in range(0, len(texts), 500):
+        a, b = (e.encode(pa.array(texts[i : i + 500])) for e in (pieces, whole))
+        assert (a[1] == b[1]).all() and (a[0] == b[0]).all()
+
+
 def test_encoder_memo_is_bounded(spark, sf):
     texts = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").limit(60).collect()]
     chunked, whole = ChunkEncoder(BYTE, 2, memo_chunks=500), ChunkEncoder(BYTE, 2, by_chunk=False)
