@@ -45,16 +45,44 @@ def top_n(rows: DataFrame, groups: list[str], order: list[str], n: int) -> DataF
     return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*groups).orderBy(*order))).where(F.col("__n") <= n).drop("__n")
 
 
+#: Groups sampled for each range that ``group_ranges`` deals.
+SAMPLED = 20
+
+
+def group_ranges(rows: DataFrame, group: str, parts: int) -> DataFrame:
+    """``rows`` with ``__part``, the range of the row's group: about ``parts`` ranges in ascending order, nulls in the last.
+
+    Hashes choose the groups that bound the ranges, so a plan that is computed
+    twice finds the same ones; ``repartitionByRange`` draws its bounds anew each time.
+    """
+    groups = rows.select(F.col(group).alias("__of")).where("__of is not null").distinct()
+    chosen = groups.orderBy(F.xxhash64("__of"), "__of").limit(parts * SAMPLED)
+    bounds = chosen.agg(F.sort_array(F.collect_list("__of")).alias("__of")).select(F.filter("__of", lambda x, i: (i + 1) % SAMPLED == 0).alias("__bounds"))
+    steps = F.sequence(F.lit(1), F.lit(parts.bit_length()))
+
+    def halve(s, _):
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        right = F.get("__bounds", middle) <= F.col(group)
+        return (
+            F.when(s["low"] >= s["high"], s)
+            .when(right, F.struct((middle + 1).alias("low"), s["high"].alias("high")))
+            .otherwise(F.struct(s["low"].alias("low"), middle.alias("high")))
+        )
+
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size("__bounds").alias("high")), halve, lambda s: s["low"])
+    part = F.when(F.col(group).isNull(), F.size("__bounds") + 1).otherwise(found)
+    return rows.join(F.broadcast(bounds)).withColumn("__part", part).drop("__bounds")
+
+
 def round_robin(rows: DataFrame, group: str, order: str) -> DataFrame:
-    """(round, place in the round): each round takes the next row of each group, groups in order.
+    """(round, place in the round): each round takes the next row of each group, groups in order, nulls last.
 
     Groups are counted before rows are: a place in round n is the number of
     groups up to this one that have n rows.  A round is dealt out by ranges of
     groups and the ranges' counts summed, so the first round, which all groups have, is not one task's.
     """
-    turn = rows.withColumn("round", F.row_number().over(Window.partitionBy(group).orderBy(order)))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    turn = turn.repartitionByRange(parts, group).withColumn("__part", F.spark_partition_id())
+    ranged = group_ranges(rows, group, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    turn = ranged.withColumn("round", F.row_number().over(Window.partitionBy(group).orderBy(F.col(order).asc_nulls_last())))
     within = F.row_number().over(Window.partitionBy("__part", "round").orderBy(group))
     before = Window.partitionBy("__round").orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)
     counts = turn.groupBy(F.col("round").alias("__round"), F.col("__part").alias("__of")).agg(F.count("*").alias("__n"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+from lodestar.operators import sets
 from lodestar.operators.folds import merge_records, upsert, versioned
 from lodestar.operators.logstats import exhaustion, streaks, token_bucket
 from lodestar.streaming.state import STATE
@@ -75,3 +76,17 @@ def test_bucket_streak_exhaustion(spark):
     pages = [("a", 1, 2, True, None), ("a", 2, 0, True, None), ("a", 3, 0, True, None), ("b", 1, 0, False, None), ("c", 1, 0, True, 1), ("d", 1, 3, False, 1)]
     df = spark.createDataFrame(pages, "topic string, page int, guides int, has_next boolean, total_pages int")
     assert {x["topic"]: x["exhausted_at"] for x in exhaustion(df).collect()} == {"a": 3, "b": 1, "c": 1, "d": None}
+
+
+def test_round_robin_places(spark):
+    """Groups of several sizes and a null one, more of them than a range's sample holds: places are gapless in the order of the groups."""
+    keys = [(f"{g % 97:02}{g}", o) for g in range(2500) for o in range(g % 4 + 1)] + [(None, 1), (None, None)]
+    rows = spark.createDataFrame(keys, "k string, o int").repartition(7)
+    got = sets.round_robin(rows, "k", "o").select("k", "o", "round", "place").collect()
+    expected, rounds = [], {}
+    for k in sorted({k for k, _ in keys}, key=lambda k: (k is None, k)):
+        for n, o in enumerate(sorted((o for x, o in keys if x == k), key=lambda o: (o is None, o)), 1):
+            rounds[n] = rounds.get(n, 0) + 1
+            expected.append((k, o, n, rounds[n]))
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+    assert not sets.round_robin(rows.limit(0), "k", "o").collect()
