@@ -103,3 +103,15 @@ def test_run_equals_brute_force(spark, sf):
         want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, cp.run(spark, sf).collect())) == sorted(want)
+
+
+def test_written_tables_release_the_drivers_memory(spark, monkeypatch):
+    from lodestar.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "release", calls.append)
+    for _ in range(2 * common.RELEASE_EVERY):
+        common.drop_written(common.materialise(spark.range(3), "released"))
+    assert len(calls) == 2
+    said = common.trim_native(spark)
+    assert said is None or "rim" in said
