@@ -37,12 +37,16 @@ FILE_SCHEMA = T.StructType(
 )
 
 #: A worker's memo of encoded chunks holds at most so many; beyond that the later third goes, so memory stays bounded.
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS = 600_000
+
+#: Texts are encoded in slices of so many bytes, or of one text.
+SLICE_BYTES = 4 << 20
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: Letters for which all Unicode versions agree, signs that no contraction or special token holds, and one line's end: a piece each.
 _LETTERS, _SIGNS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+", r"""[!"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]+"""
-_WORD_AND_SIGNS = re.compile(f"({_LETTERS})({_SIGNS})?")
+_SIGN_CHARS = r"""!"#$%&()*+,-./:;=?@[\]^_`{}~"""
+_WORD = re.compile(_LETTERS)
 _PIECES = re.compile(f"{_LETTERS}|{_SIGNS}|\n")
 #: Chunks that are such pieces alone; a line's end stands between two others, since runs of white space are cut otherwise.
 _PIECEWISE = re.compile(f"(?:{_LETTERS}|{_SIGNS}|(?<=[^\n])\n(?=[^\n]))+")
@@ -149,33 +153,45 @@ class ChunkEncoder:
             ids = self.pieces[piece] = [t.id for t in self.model.tokenize(piece.translate(self.letters))]
         return ids
 
+    def _known(self, numbers: list[int]) -> list[list[int]]:
+        """The ids of learnt chunks."""
+        n = self.length[numbers].astype(np.int64)
+        ends = np.cumsum(n)
+        ids = self.flat[np.arange(n.sum()) + np.repeat(self.start[numbers] - (ends - n), n)].tolist()
+        return [ids[a:b] for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)]
+
     def _learn(self) -> None:
         new, self.numbers.new = self.numbers.new, []
         first = len(self.numbers) - len(new)
         ids: list = [None] * len(new)
-        others, composed, tokenize = [], [], self.model.tokenize
+        others, composed, tokenize, letters = [], [], self.model.tokenize, self.letters
         fresh: dict[str, list[int]] = {}
         for i, key in enumerate(new):
             if type(key) is tuple:
                 if not key[0][-1:].isspace():
                     others.append((i, key[0]))
-            elif key.isascii() and key.isalpha():
+            elif key.isalpha() and key.isascii():
                 ids[i] = fresh[key] = [t.id for t in tokenize("\u0120" + key)]
-            elif m := _WORD_AND_SIGNS.fullmatch(key):
-                composed.append((i, m[1], m[2] and [m[2]]))
+            elif (word := key.rstrip(_SIGN_CHARS)).isalpha() and (word.isascii() or _WORD.fullmatch(word)):
+                if len(word) < len(key):
+                    composed.append((i, word, (key[len(word) :],)))
+                else:
+                    ids[i] = fresh[key] = [t.id for t in tokenize("\u0120" + key.translate(letters))]
             elif _PIECEWISE.fullmatch(key):
                 word, *rest = _PIECES.findall(key)
                 composed.append((i, word, rest))
             elif key and not key[0].isspace() and not key[-1].isspace():
                 others.append((i, " " + key))
+        known = {w: at for _, w, _ in composed if (at := self.numbers.get(w, first)) < first}
+        fresh.update(zip(known, self._known(list(known.values())), strict=True) if known else ())
+        pieces, piece_of = self.pieces.get, self._piece
         for i, word, rest in composed:
             x = fresh.get(word)
             if x is None:
-                at = self.numbers.get(word, first)
-                x = [t.id for t in tokenize("\u0120" + word.translate(self.letters))] if at >= first else self.flat[self.start[at] : self.start[at] + self.length[at]].tolist()
-                fresh[word] = x
-            for piece in rest or ():
-                x = x + self._piece(piece)
+                x = fresh[word] = [t.id for t in tokenize("\u0120" + (word if word.isascii() and word.isalpha() else word.translate(letters)))]
+            x = x.copy()
+            for piece in rest:
+                x += pieces(piece) or piece_of(piece)
             ids[i] = x
         for (i, _), x in zip(others, self._encode([c for _, c in others]), strict=True):
             ids[i] = x
@@ -238,6 +254,13 @@ def encoder_for(path: str, end_id: int | None, by_chunk: bool, memo_chunks: int)
 KEPT["encode_ids"] = encoder_for.cache_clear
 
 
+def _slices(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+    """A batch by slices of SLICE_BYTES of its last column, or of one row."""
+    part = np.cumsum(pc.binary_length(batch.column(batch.num_columns - 1)).to_numpy(zero_copy_only=False), dtype=np.int64) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    return [batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a]
+
+
 def is_byte_level(path: str) -> bool:
     """Whether the vocabulary cuts at lone spaces: byte-level pre-tokenizer, no normaliser, special tokens in angle brackets."""
     import json
@@ -277,7 +300,7 @@ def write_tokens(
     def encode_ids(batches):
         encoder = encoder_for(tokenizer_path, end_id, by_chunk, memo_chunks)
         start = 0
-        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
+        for batch in chain.from_iterable(map(_slices, batches)):
             ids, lengths = encoder.encode(batch.column(2))
             ends = np.cumsum(lengths)
             offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))

@@ -12,7 +12,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
 
 from lodestar.llm.token_counts import CACHE_SCHEMA, token_counts, tokenizer_version  # noqa: E402
-from lodestar.llm.token_output import ChunkEncoder, read_index, read_tokens, token_output, write_tokens  # noqa: E402
+from lodestar.llm.token_output import SLICE_BYTES, ChunkEncoder, _slices, read_index, read_tokens, token_output, write_tokens  # noqa: E402
 
 WORD, BYTE, PIECE = (str(public_tokenizers.path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
 SCHEMA = "doc_id long, text string, n_tokens long, part int"
@@ -124,3 +124,27 @@ def test_encoder_memo_is_bounded(spark, sf):
         a, b = chunked.encode(pa.array(texts[i : i + 10])), whole.encode(pa.array(texts[i : i + 10]))
         assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
     assert len(chunked.numbers) < 20_000
+
+
+def test_many_words_are_learnt_once():
+    encoder, whole = ChunkEncoder(BYTE, 2), Tokenizer.from_file(BYTE)
+    letters = "bcdfghjklm"
+    words = ["".join(letters[int(d)] for d in f"{i:06d}") + ("", ".", "),", "\nQu\u00e9!", "\u00e9t\u00e9;")[i % 5] for i in range(400_000)]
+    texts = pa.array([" ".join(words[i : i + 4_000]) for i in range(0, len(words), 4_000)])
+    for i in range(0, len(texts), 20):
+        ids, counts = encoder.encode(texts.slice(i, 20))
+        want = whole.encode(texts[i].as_py(), add_special_tokens=False).ids
+        assert ids[: counts[0]].tolist() == [*want, 2]
+    known = len(encoder.numbers)
+    for i in range(0, len(texts), 20):
+        encoder.encode(texts.slice(i, 20))
+    assert len(encoder.numbers) == known > 400_000
+
+
+def test_slices_hold_every_row_once():
+    texts = pa.array(["", "a" * (5 << 20), *["b" * (1 << 20)] * 9, ""])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), texts], names=["doc_id", "text"])
+    parts = _slices(batch)
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert all(p.num_rows == 1 or sum(map(len, p.column(1).to_pylist())) <= 2 * SLICE_BYTES for p in parts) and len(parts) > 2
+    assert _slices(batch.slice(0, 0)) == []
